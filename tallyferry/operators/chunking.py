@@ -139,10 +139,11 @@ def _cut_finder(cuts: Sequence[object]):
 
 
 def spread_by_chunk(df: DataFrame, plan: ChunkPlan, name: str = "chunk_id") -> DataFrame:
-    """Shuffle so each chunk is one task's work, oversized chunks several tasks'.
+    """Shuffle so that a task holds few chunks, and an oversized chunk has several tasks.
 
     The rows of a large chunk are told apart by the task that read them, which
-    stays the same when a task runs again.
+    stays the same when a task runs again. Adaptive execution evens out the rest:
+    a rebalance splits what is still too large and joins what is small.
     """
     wide = {c: n for c, n in plan.splits.items() if n > 1}
     parts = F.lit(1)
@@ -152,7 +153,7 @@ def spread_by_chunk(df: DataFrame, plan: ChunkPlan, name: str = "chunk_id") -> D
     slot = F.pmod(F.hash(F.spark_partition_id()), parts)
     tasks = sum(max(1, n) for n in plan.splits.values()) + plan.chunks
     tagged = df.withColumn("__slot", slot)
-    return tagged.repartition(min(tasks, 50_000), name, "__slot").drop("__slot")
+    return tagged.hint("rebalance", min(tasks, 50_000), name, "__slot").drop("__slot")
 
 
 def range_predicates(plan: ChunkPlan, dtype: T.DataType) -> list[str]:

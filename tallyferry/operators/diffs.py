@@ -57,28 +57,22 @@ def field_diff(
     left = _packed(source, keys, compared, "source")
     right = _packed(target, keys, compared, "target")
     joined = left.join(right, list(keys), "full_outer")
+    # One struct comparison per row; cells are only looked at in rows that differ.
+    rows = joined.where(~F.col("source").eqNullSafe(F.col("target")))
+    both = F.col("source").isNotNull() & F.col("target").isNotNull()
+    lines = [_line(None, F.lit(None), F.lit(None), ~both)]
+    for name in compared:
+        here, there = _cell("source", name), _cell("target", name)
+        lines.append(_line(name, here, there, both & ~here.eqNullSafe(there)))
     kind = (
         F.when(F.col("target").isNull(), "source_only")
         .when(F.col("source").isNull(), "target_only")
         .otherwise("changed")
     )
-    differs = F.lit(False)
-    for name in compared:
-        differs = differs | ~_cell("source", name).eqNullSafe(_cell("target", name))
-    rows = joined.withColumn("kind", kind).where((F.col("kind") != "changed") | differs)
-    missing = [_line(None, F.lit(None), F.lit(None), F.col("kind") != "changed")]
-    cells = [
-        _line(
-            name,
-            _cell("source", name),
-            _cell("target", name),
-            (F.col("kind") == "changed")
-            & ~_cell("source", name).eqNullSafe(_cell("target", name)),
-        )
-        for name in compared
-    ]
-    lines = rows.select(*keys, "kind", F.inline(F.array(*missing, *cells))).where("keep")
-    return lines.select(*keys, "column_name", "source_value", "target_value", "kind")
+    differing = F.filter(F.array(*lines), lambda line: line.getField("keep"))
+    return rows.select(*keys, kind.alias("kind"), F.inline(differing)).select(
+        *keys, "column_name", "source_value", "target_value", "kind"
+    )
 
 
 def _packed(df: DataFrame, keys: Sequence[str], columns: Sequence[str], side: str) -> DataFrame:

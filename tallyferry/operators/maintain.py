@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyferry.functions.predicates import date_window, outside
-from tallyferry.session import child_names, hadoop_path, materialise, path_exists
+from tallyferry.session import child_names, clear_folder, materialise
 from tallyferry.specs import Window
 
 DAY = "day_part"
@@ -96,8 +96,7 @@ def _drop_days(spark: SparkSession, path: str, window: Window, keep: set[str]) -
             continue
         starts_before_end = last is None or f"{day} 00:00:00" < last
         if day >= first and starts_before_end:
-            jpath, fs = hadoop_path(spark, f"{path}/{name}")
-            fs.delete(jpath, True)
+            clear_folder(spark, f"{path}/{name}")
 
 
 def append_target(spark: SparkSession, table: str, rows: DataFrame) -> None:
@@ -133,7 +132,3 @@ def create_if_absent(spark: SparkSession, table: str, schema: T.StructType) -> N
 def drop_if_present(spark: SparkSession, tables: list[str]) -> None:
     for table in tables:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
-
-
-def target_exists(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, path)

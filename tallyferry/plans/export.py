@@ -11,6 +11,7 @@ from tallyferry.functions.predicates import date_window
 from tallyferry.operators.chunking import assign_chunks, plan_chunks, spread_by_chunk
 from tallyferry.operators.select import sample_slice, sort_desc
 from tallyferry.operators.sizing import chunk_rows_for, stored_mb
+from tallyferry.session import clear_folder
 from tallyferry.sources.delimited import CHUNK, write_delimited
 from tallyferry.specs import Settings, TableSpec, Window, check_mode, moves_in_one_piece
 
@@ -61,8 +62,10 @@ def export_table(
 
 
 def _write_one(df, spec, path, condition, settings) -> Exported:
-    # One chunk, still written by as many tasks as read it.
-    write_delimited(df.withColumn(CHUNK, F.lit(0)), path, settings, chunked=True)
+    # One chunk, still written by as many tasks as read it. Straight into its folder:
+    # a partitioned write would sort by chunk and lose the order of the rows.
+    clear_folder(df.sparkSession, path)
+    write_delimited(df, f"{path}/{CHUNK}=0", settings)
     return Exported(spec, path, condition, 1)
 
 

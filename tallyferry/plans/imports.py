@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tallyferry.operators.maintain import (
     append_path, read_target, replace_window, truncate_path,
 )
-from tallyferry.operators.reconcile import reconcile
-from tallyferry.session import path_exists, scratch_path
-from tallyferry.sources.delimited import REASON, Loaded, load_delimited
+from tallyferry.plans.audit import reconcile_tables
+from tallyferry.session import clear_folder, path_exists, scratch_path
+from tallyferry.sources.delimited import Loaded, load_delimited, write_counting_bad
 from tallyferry.specs import MissingInput, Settings, TableSpec, TooManyBadRows, Window
 
 
@@ -21,15 +20,10 @@ def stage_good_rows(loaded: Loaded, settings: Settings) -> DataFrame:
     The budget is checked before anything reaches the target.
     """
     spark = loaded.rows.sparkSession
-    seen = Observation()
-    watched = Loaded(
-        loaded.rows.observe(seen, F.count_if(F.col(REASON).isNotNull()).alias("bad")),
-        loaded.schema,
-    )
     path = scratch_path(spark, "loaded")
-    watched.good().write.parquet(path)
-    bad = seen.get["bad"]
+    bad = write_counting_bad(loaded, path)
     if bad > settings.max_bad_rows:
+        clear_folder(spark, path)
         raise TooManyBadRows(f"{bad} bad rows, {settings.max_bad_rows} allowed")
     return spark.read.schema(loaded.schema).parquet(path)
 
@@ -80,15 +74,14 @@ def import_tables(
     missing = [s.name for s in specs if not path_exists(spark, f"{files.rstrip('/')}/{s.name}")]
     if missing:
         raise MissingInput(f"no folder of files to load for {', '.join(missing)}")
-    report = None
-    for spec in specs:
-        source = read(spec)
-        target = import_table(
-            spark, spec, source.schema, files, f"{targets.rstrip('/')}/{spec.target}", window, settings
+    loaded = {
+        spec.name: import_table(
+            spark, spec, read(spec).schema, files, f"{targets.rstrip('/')}/{spec.target}", window,
+            settings,
         )
-        lines = reconcile(source, target, spec.name, (conditions or {}).get(spec.name))
-        report = lines if report is None else report.unionByName(lines)
-    return report
+        for spec in specs
+    }
+    return reconcile_tables(read, lambda spec: loaded[spec.name], specs, conditions)
 
 
 def housekeep(spark: SparkSession, read, specs, targets: str) -> None:

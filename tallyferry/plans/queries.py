@@ -558,7 +558,7 @@ def load_file_batches(spark, sf):
     target = scratch_path(spark, "batches")
     load_in_batches(
         spark, _chunked_orders(spark, sf), orders.columns, orders.schema, target,
-        Settings(files_per_batch=3),
+        Settings(files_per_batch=5),
     )
     return spark.read.schema(orders.schema).parquet(target).select(*orders.columns)
 

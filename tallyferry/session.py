@@ -62,8 +62,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 def release_scratch(spark: SparkSession) -> None:
     """Delete every table this application wrote to the scratch folder."""
-    path, fs = hadoop_path(spark, scratch_root(spark))
-    fs.delete(path, True)
+    clear_folder(spark, scratch_root(spark))
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -78,6 +77,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def clear_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it, if it exists."""
+    jpath, fs = hadoop_path(spark, path)
+    fs.delete(jpath, True)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the direct children of a directory; empty when it is absent."""
     jpath, fs = hadoop_path(spark, path)

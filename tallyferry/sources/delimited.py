@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +12,7 @@ from tallyferry.functions.text import quoted, scrub_nul
 from tallyferry.session import path_exists
 from tallyferry.specs import MissingInput, Settings
 
-_RAW = "__raw_line"
+RAW = "__raw_line"
 CHUNK = "chunk_id"
 REASON, LINE = "bad_reason", "bad_line"
 
@@ -63,7 +63,6 @@ def _reader(spark: SparkSession, settings: Settings, multi_line: bool):
         spark.read.options(**_options(settings))
         .option("recursiveFileLookup", "true")
         .option("multiLine", str(multi_line).lower())
-        .option("unescapedQuoteHandling", "STOP_AT_DELIMITER")
     )
 
 
@@ -75,7 +74,7 @@ def read_delimited(
     multi_line: bool = False,
 ) -> DataFrame:
     """All cells as text under the header's names, and the raw line of malformed rows
-    in ``__raw_line``.
+    in ``RAW``.
 
     Files whose header differs from ``columns`` (default: the first file's) fail
     the read rather than being bound by position. Stray quotes inside a cell stay.
@@ -85,18 +84,22 @@ def read_delimited(
         raise MissingInput(f"no files to load: {first} does not exist")
     names = columns or header_of(spark, first, settings, multi_line)
     schema = T.StructType(
-        [T.StructField(n, T.StringType()) for n in names] + [T.StructField(_RAW, T.StringType())]
+        [T.StructField(n, T.StringType()) for n in names] + [T.StructField(RAW, T.StringType())]
     )
-    return (
-        _reader(spark, settings, multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _RAW)
-        .option("enforceSchema", "false")
+    return _reader(spark, settings, multi_line).options(**parse_options(settings)).schema(schema).csv(path)
+
+
+def parse_options(settings: Settings) -> dict[str, str]:
+    """Reader options that keep malformed lines apart instead of bending them into shape."""
+    return {
+        **_options(settings),
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": RAW,
+        "enforceSchema": "false",
         # With pruning, lines of the wrong width would pass unnoticed.
-        .option("columnPruning", "false")
-        .schema(schema)
-        .csv(path)
-    )
+        "columnPruning": "false",
+        "unescapedQuoteHandling": "STOP_AT_DELIMITER",
+    }
 
 
 def convert(cell: Column, dtype: T.DataType) -> Column:
@@ -125,9 +128,9 @@ def conform(text: DataFrame, schema: T.StructType, separator: str = "\t") -> Loa
     does a malformed line. NUL characters are removed first. Target columns that
     the files lack become NULL, or make every row bad if they may not be NULL.
     """
-    has_raw = _RAW in text.columns
+    has_raw = RAW in text.columns
     clean = scrub_nul(text)
-    found = {c.lower(): c for c in clean.columns if c != _RAW}
+    found = {c.lower(): c for c in clean.columns if c != RAW}
     typed, misfits, absent = [], [], []
     for field in schema.fields:
         name = found.get(field.name.lower())
@@ -144,14 +147,14 @@ def conform(text: DataFrame, schema: T.StructType, separator: str = "\t") -> Loa
         if not field.nullable:
             absent.append(F.when(cell.isNull(), F.lit(field.name)))
         typed.append(value.alias(field.name))
-    raw = F.col(_RAW) if has_raw else F.lit(None).cast("string")
+    raw = F.col(RAW) if has_raw else F.lit(None).cast("string")
     wrong_type = F.concat(F.lit("not of its type: "), F.coalesce(*misfits)) if misfits else F.lit(None)
     missing = F.concat(F.lit("no value: "), F.coalesce(*absent)) if absent else F.lit(None)
     reason = F.coalesce(
         F.when(raw.isNotNull(), F.lit("malformed line")), wrong_type, missing
     ).cast("string")
     joined = F.concat_ws(
-        separator, *[F.coalesce(F.col(quoted(c)), F.lit("")) for c in clean.columns if c != _RAW]
+        separator, *[F.coalesce(F.col(quoted(c)), F.lit("")) for c in clean.columns if c != RAW]
     )
     rows = clean.select(*typed, reason.alias(REASON), F.coalesce(raw, joined).alias(LINE))
     return Loaded(rows, schema)
@@ -169,6 +172,14 @@ def load_delimited(
     return conform(text, schema, settings.separator)
 
 
+def write_counting_bad(loaded: Loaded, path: str) -> int:
+    """Write the good rows to ``path`` and return how many bad ones were met, in one pass."""
+    seen = Observation()
+    watched = loaded.rows.observe(seen, F.count_if(F.col(REASON).isNotNull()).alias("bad"))
+    Loaded(watched, loaded.schema).good().write.mode("overwrite").parquet(path)
+    return seen.get["bad"]
+
+
 def line_counts(spark: SparkSession, path: str) -> DataFrame:
     """Lines per export file (header lines included), gzip or plain."""
     lines = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)

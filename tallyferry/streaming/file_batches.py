@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tallyferry.session import child_names, path_exists, scratch_path
-from tallyferry.sources.delimited import Loaded, conform
+from tallyferry.session import child_names, clear_folder, path_exists, scratch_path
+from tallyferry.sources.delimited import RAW, Loaded, conform, parse_options, write_counting_bad
 from tallyferry.specs import MissingInput, Settings, TooManyBadRows
 
 BATCH = "load_batch"
-_RAW = "__raw_line"
 
 
 def load_in_batches(
@@ -32,20 +31,11 @@ def load_in_batches(
     if not path_exists(spark, path):
         raise MissingInput(f"no files to load: {path} does not exist")
     text = T.StructType(
-        [T.StructField(n, T.StringType()) for n in header] + [T.StructField(_RAW, T.StringType())]
+        [T.StructField(n, T.StringType()) for n in header] + [T.StructField(RAW, T.StringType())]
     )
     stream = (
         spark.readStream.schema(text)
-        .option("sep", settings.separator)
-        .option("header", "true")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", settings.null_marker)
-        .option("lineSep", "\n")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _RAW)
-        .option("enforceSchema", "false")
-        .option("columnPruning", "false")
+        .options(**parse_options(settings))
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", settings.files_per_batch)
         .csv(path)
@@ -68,8 +58,11 @@ def load_in_batches(
 
 
 def store_batch(loaded: Loaded, folder: str, settings: Settings) -> None:
-    """Write one batch's good rows unless the batch has too many bad ones."""
-    bad = loaded.bad().count()
+    """Write one batch's good rows, parsing its files once.
+
+    The bad rows are counted on the way; with too many the folder is removed again.
+    """
+    bad = write_counting_bad(loaded, folder)
     if bad > settings.max_bad_rows:
+        clear_folder(loaded.rows.sparkSession, folder)
         raise TooManyBadRows(f"{bad} bad rows, {settings.max_bad_rows} allowed, for {folder}")
-    loaded.good().write.mode("overwrite").parquet(folder)

@@ -26,7 +26,7 @@ def plain(value):
         return value
     if isinstance(value, (int, decimal.Decimal, float)):
         number = float(value)
-        return "nan" if math.isnan(number) else float(f"{number:.10g}")
+        return "nan" if math.isnan(number) else number
     if isinstance(value, dt.datetime):
         return value.isoformat(sep=" ")
     return str(value)

@@ -1,0 +1,84 @@
+"""Chunks are disjoint and complete, whatever the key's type, ties and NULLs."""
+
+import pytest
+from conftest import values
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from test_ordering import skewed
+
+from tallyferry.operators import chunking as C
+
+KEYS = {
+    "bigint": "k",
+    "string": "concat('key-', lpad(cast(k as string), 5, '0'))",
+    "double": "k / 3",
+    "decimal(12,3)": "cast(k / 7 as decimal(12,3))",
+    "date": "date_add(date '2020-01-01', cast(k as int))",
+    "timestamp_ntz": "cast(date_add(date '1500-01-01', cast(k as int) * 400) as timestamp_ntz)",
+    "timestamp": "timestamp_seconds(k * 1000)",
+}
+
+
+def brute_chunks(keys, chunk_rows):
+    ordered = sorted(k for k in keys if k is not None)
+    cuts = [ordered[i - 1] for i in range(chunk_rows, len(ordered) + 1, chunk_rows)][:-1]
+    return [-1 if k is None else sum(1 for c in cuts if c <= k) for k in keys]
+
+
+@pytest.mark.parametrize("cuts_in_case", [64, 0])
+@pytest.mark.parametrize("dtype", sorted(KEYS))
+def test_chunks_match_brute_force(spark, monkeypatch, dtype, cuts_in_case):
+    monkeypatch.setattr(C, "_CASE_CUTS", cuts_in_case)
+    df = skewed(spark, 1500).select("id", F.expr(KEYS[dtype]).cast(dtype).alias("key"))
+    plan = C.plan_chunks(df, "key", 130)
+    rows = C.assign_chunks(df, plan).collect()
+    assert [r["chunk_id"] for r in rows] == brute_chunks([r["key"] for r in rows], 130)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    keys=st.lists(st.one_of(st.none(), st.integers(-50, 50), st.integers(-(2**62), 2**62)), max_size=60),
+    chunk_rows=st.integers(1, 25),
+)
+def test_chunks_are_a_partition(spark, keys, chunk_rows):
+    df = spark.createDataFrame([(k,) for k in keys], "key bigint")
+    plan = C.plan_chunks(df, "key", chunk_rows)
+    rows = C.assign_chunks(df, plan).collect()
+    assert sorted(r["chunk_id"] for r in rows) == sorted(brute_chunks(keys, chunk_rows))
+    conditions = C.range_predicates(plan, df.schema["key"].dataType)
+    pieces = [df.where(c).count() for c in conditions]
+    assert sum(pieces) == len(keys)
+
+
+def test_range_predicates_quote_text(spark):
+    df = spark.createDataFrame([("a'b",), ("c",), (None,), ("d",)], "key string")
+    plan = C.plan_chunks(df, "key", 1)
+    conditions = C.range_predicates(plan, df.schema["key"].dataType)
+    assert [df.where(c).count() for c in conditions] == [0, 1, 2, 1]
+    assert "'a''b'" in conditions[0]
+
+
+def test_no_boundary_gives_one_open_range(spark):
+    df = skewed(spark, 100)
+    assert values(C.chunk_boundaries(df, "k", 1000).drop("row_num")) == [(0, None, None)]
+
+
+def test_oversized_chunk_is_split_by_its_repeated_cuts(spark):
+    plan = C.plan_chunks(skewed(spark, 6000), "k", 200)
+    # 2000 rows share key 500: their chunk spreads over about ten tasks.
+    assert 9 <= max(plan.splits.values()) <= 12
+    assert plan.chunks == 29
+
+
+def test_spread_keeps_every_row(spark):
+    df = skewed(spark, 3000)
+    plan = C.plan_chunks(df, "k", 200)
+    spread = C.spread_by_chunk(C.assign_chunks(df, plan), plan)
+    assert values(spread.select("id", "k")) == values(df)
+
+
+def test_too_many_chunks_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(C, "MAX_CHUNKS", 5)
+    with pytest.raises(ValueError, match="raise the chunk size"):
+        C.plan_chunks(skewed(spark, 300), "k", 10)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,24 +34,31 @@ def chunk_boundaries(df: DataFrame, key: str, chunk_rows: int) -> DataFrame:
     The boundary keys are those of each ``chunk_rows``-th row in key order; k
     boundaries give k ranges, the last one open, and none gives one open range.
     """
-    numbered = number_rows(df.where(F.col(key).isNotNull()).select(key), [key])
-    cuts = numbered.where(F.col("row_num") % chunk_rows == 0)
-    # Only every chunk_rows-th row reaches this window.
-    order = Window.orderBy("row_num")
-    ranges = cuts.select(
-        (F.col("row_num") / chunk_rows - 1).cast("int").alias("chunk_id"),
-        F.col("row_num"),
-        F.lag(key).over(order).alias("low_key"),
-        F.when(F.lead(key).over(order).isNotNull(), F.col(key)).alias("high_key"),
+    numbered, ranges = _numbered_keys(df, key, chunk_rows)
+    dtype = df.schema[key].dataType
+    if ranges == 0:
+        return numbered.agg(F.count(F.lit(1)).alias("row_num")).select(
+            F.lit(0).alias("chunk_id"),
+            "row_num",
+            F.lit(None).cast(dtype).alias("low_key"),
+            F.lit(None).cast(dtype).alias("high_key"),
+        )
+    cuts = numbered.where(F.col("row_num") % chunk_rows == 0).select(
+        (F.col("row_num") / chunk_rows - 1).cast("int").alias("chunk_id"), "row_num", F.col(key).alias("cut")
     )
-    empty = F.lit(None).cast(df.schema[key].dataType)
-    whole = (
-        numbered.agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") < chunk_rows)
-        .select(F.lit(0).alias("chunk_id"), F.col("n").alias("row_num"),
-                empty.alias("low_key"), empty.alias("high_key"))
+    # Neighbours are met by a join on their number: no window over all cuts in one task.
+    previous = cuts.select((F.col("chunk_id") + 1).alias("chunk_id"), F.col("cut").alias("low_key"))
+    high = F.when(F.col("chunk_id") < ranges - 1, F.col("cut"))
+    return cuts.join(previous, "chunk_id", "left").select(
+        "chunk_id", "row_num", "low_key", high.alias("high_key")
     )
-    return ranges.unionByName(whole)
+
+
+def _numbered_keys(df: DataFrame, key: str, chunk_rows: int) -> tuple[DataFrame, int]:
+    """The non-null keys in order, and how many boundaries they give."""
+    numbered = number_rows(df.where(F.col(key).isNotNull()).select(key), [key])
+    total = numbered.agg(F.max("row_num")).first()[0] or 0
+    return numbered, total // chunk_rows
 
 
 @dataclass(frozen=True)
@@ -74,17 +81,16 @@ class ChunkPlan:
 
 def plan_chunks(df: DataFrame, key: str, chunk_rows: int) -> ChunkPlan:
     """Bring the boundaries to the driver: rows / chunk_rows small rows, checked."""
-    bounds = chunk_boundaries(df, key, chunk_rows).where(F.col("high_key").isNotNull())
-    rows = (
-        bounds.select(
-            "chunk_id", F.col("high_key").cast("string"), ordinal(bounds, "high_key").alias("o")
-        )
-        .limit(MAX_CHUNKS + 1)
-        .collect()
-    )
-    if len(rows) > MAX_CHUNKS:
-        raise ValueError(f"more than {MAX_CHUNKS} chunks of {chunk_rows} rows: raise the chunk size")
-    rows.sort(key=lambda r: r["chunk_id"])
+    numbered, ranges = _numbered_keys(df, key, chunk_rows)
+    if ranges > MAX_CHUNKS:
+        raise ValueError(f"{ranges} chunks of {chunk_rows} rows, {MAX_CHUNKS} allowed: raise the chunk size")
+    # The last boundary is no cut: its range stays open.
+    position = F.col("row_num")
+    cuts = numbered.where((position % chunk_rows == 0) & (position < ranges * chunk_rows))
+    rows = cuts.select(
+        "row_num", F.col(key).cast("string").alias("cut"), ordinal(cuts, key).alias("o")
+    ).collect()
+    rows.sort(key=lambda r: r["row_num"])
     ordinals = tuple(r["o"] for r in rows)
     nulls = df.where(F.col(key).isNull()).count()
     splits = {NULL_CHUNK: -(-nulls // chunk_rows)}
@@ -92,7 +98,7 @@ def plan_chunks(df: DataFrame, key: str, chunk_rows: int) -> ChunkPlan:
         # Repeated cuts leave empty ranges; the last of them holds all their rows.
         chunk = bisect_right(ordinals, cut)
         splits[chunk] = splits.get(chunk, 0) + 1
-    return ChunkPlan(key, tuple(r["high_key"] for r in rows), ordinals, splits)
+    return ChunkPlan(key, tuple(r["cut"] for r in rows), ordinals, splits)
 
 
 def assign_chunks(df: DataFrame, plan: ChunkPlan, name: str = "chunk_id") -> DataFrame:

@@ -81,7 +81,8 @@ def chunk_rows_for(used_mb: float, rows: int, chunk_mb: float) -> int:
     """The same rule on driver-side numbers; at least 1."""
     if used_mb <= 0 or rows <= 0:
         return max(rows, 1)
-    return max(int(round(chunk_mb / (used_mb / rows), -3)), 1)
+    wanted = chunk_mb / (used_mb / rows)
+    return int(wanted / 1000 + 0.5) * 1000 or max(int(wanted), 1)
 
 
 def two_level_max(df: DataFrame, outer: Sequence[str], inner: Sequence[str], value: Column) -> DataFrame:

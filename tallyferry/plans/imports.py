@@ -14,14 +14,19 @@ from tallyferry.sources.delimited import Loaded, load_delimited, write_counting_
 from tallyferry.specs import MissingInput, Settings, TableSpec, TooManyBadRows, Window
 
 
-def stage_good_rows(loaded: Loaded, settings: Settings) -> DataFrame:
+def stage_good_rows(
+    loaded: Loaded, settings: Settings, quarantine: str | None = None
+) -> DataFrame:
     """Parse the files once into a scratch table while counting the bad rows.
 
-    The budget is checked before anything reaches the target.
+    The budget is checked before anything reaches the target. Bad rows, if there
+    are any, are added to the ``quarantine`` folder with the reason.
     """
     spark = loaded.rows.sparkSession
     path = scratch_path(spark, "loaded")
     bad = write_counting_bad(loaded, path)
+    if bad and quarantine:
+        loaded.bad().write.mode("append").parquet(quarantine)
     if bad > settings.max_bad_rows:
         clear_folder(spark, path)
         raise TooManyBadRows(f"{bad} bad rows, {settings.max_bad_rows} allowed")
@@ -37,6 +42,7 @@ def import_table(
     window: Window | None = None,
     settings: Settings = Settings(),
     multi_line: bool = False,
+    quarantine: str | None = None,
 ) -> DataFrame:
     """Load ``<files>/<table>`` into the folder target and return the target.
 
@@ -47,7 +53,7 @@ def import_table(
     if not path_exists(spark, source):
         raise MissingInput(f"{spec.name}: no folder of files to load at {source}")
     staged = stage_good_rows(
-        load_delimited(spark, source, schema, settings, multi_line), settings
+        load_delimited(spark, source, schema, settings, multi_line), settings, quarantine
     )
     if window and spec.date_col and settings.idempotent:
         replace_window(spark, target, staged, spec.date_col, window)

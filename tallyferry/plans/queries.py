@@ -796,7 +796,7 @@ select * from events where ts >= timestamp '2024-01-08' and ts < timestamp '2024
 def export_job(spark, sf):
     """Window mode with chunking on: files are cut by key, then read back."""
     events, out = _read(spark, sf, "events"), scratch_path(spark, "export")
-    settings = Settings(chunking=True, whole_table_mb=0, windowed_table_mb=0, chunk_mb=1)
+    settings = Settings(chunking=True, whole_table_mb=0, windowed_table_mb=0, chunk_mb=0.05)
     window = Window("2024-01-08 00:00:00", "2024-01-22 00:00:00")
     done = export_table(events, EVENTS, out, window=window, settings=settings)
     return T.load_delimited(spark, done.path, events.schema, settings).good()
@@ -819,7 +819,7 @@ def export_sample(spark, sf):
 def export_whole(spark, sf):
     """Whole mode with chunking on, thresholds low enough to cut."""
     orders, out = _read(spark, sf, "orders"), scratch_path(spark, "whole")
-    settings = Settings(chunking=True, whole_table_mb=0, chunk_mb=1)
+    settings = Settings(chunking=True, whole_table_mb=0, chunk_mb=0.05)
     done = export_table(orders, ORDERS, out, settings=settings)
     return T.load_delimited(spark, done.path, orders.schema, settings).good()
 

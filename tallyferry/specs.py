@@ -74,7 +74,7 @@ class Window:
 class Settings:
     """How to move. Defaults are the fixed values of the tool being replaced."""
 
-    chunk_mb: int = 5000
+    chunk_mb: float = 5000
     whole_table_mb: int = 10000
     windowed_table_mb: int = 20000
     window_weeks: int = 150

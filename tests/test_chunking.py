@@ -62,6 +62,7 @@ def test_range_predicates_quote_text(spark):
 def test_no_boundary_gives_one_open_range(spark):
     df = skewed(spark, 100)
     assert values(C.chunk_boundaries(df, "k", 1000).drop("row_num")) == [(0, None, None)]
+    assert C.plan_chunks(df, "k", 1000).chunks == 1
 
 
 def test_oversized_chunk_is_split_by_its_repeated_cuts(spark):

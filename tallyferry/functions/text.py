@@ -17,8 +17,14 @@ def quoted(name: str) -> str:
 
 
 def scrub_nul(df: DataFrame) -> DataFrame:
-    """Remove NUL characters from every text column."""
-    return _on_text(df, lambda c: F.translate(c, "\u0000", ""))
+    """Remove NUL characters from every text column.
+
+    The byte search spares the clean cells, nearly all of them, the slower translation.
+    """
+    nul = "\u0000"
+    return _on_text(
+        df, lambda c: F.when(F.contains(c, F.lit(nul)), F.translate(c, nul, "")).otherwise(c)
+    )
 
 
 def quote_json_cells(df: DataFrame) -> DataFrame:

@@ -23,6 +23,8 @@ from tallyferry.specs import Settings
 NULL_CHUNK = -1
 # One output folder per chunk: a plan beyond this is a mistake in the chunk size.
 MAX_CHUNKS = 1_000_000
+# More shuffle tasks than this cost more than they spread.
+MAX_TASKS = 100_000
 # Up to this many cuts a nested CASE stays small enough for the JIT compiler.
 _CASE_CUTS = 64
 
@@ -144,22 +146,23 @@ def _cut_finder(cuts: Sequence[object]):
     return find
 
 
-def spread_by_chunk(df: DataFrame, plan: ChunkPlan, name: str = "chunk_id") -> DataFrame:
-    """Shuffle so that a task holds few chunks, and an oversized chunk has several tasks.
+def spread_by_chunk(
+    df: DataFrame, plan: ChunkPlan, tasks_per_chunk: int = 1, name: str = "chunk_id"
+) -> DataFrame:
+    """Shuffle so that a chunk is the work of ``tasks_per_chunk`` tasks, and an
+    oversized chunk that of as many more as it is larger.
 
-    The rows of a large chunk are told apart by the task that read them, which
-    stays the same when a task runs again. Adaptive execution evens out the rest:
-    a rebalance splits what is still too large and joins what is small.
+    The rows of one chunk are told apart by the task that read them, which stays
+    the same when a task runs again.
     """
-    wide = {c: n for c, n in plan.splits.items() if n > 1}
-    parts = F.lit(1)
+    slots = F.lit(tasks_per_chunk)
+    wide = {c: n * tasks_per_chunk for c, n in plan.splits.items() if n > 1}
     if wide:
         sizes = F.create_map(*[F.lit(x) for pair in sorted(wide.items()) for x in pair])
-        parts = F.coalesce(F.try_element_at(sizes, F.col(name)), F.lit(1))
-    slot = F.pmod(F.hash(F.spark_partition_id()), parts)
-    tasks = sum(max(1, n) for n in plan.splits.values()) + plan.chunks
-    tagged = df.withColumn("__slot", slot)
-    return tagged.hint("rebalance", min(tasks, 50_000), name, "__slot").drop("__slot")
+        slots = F.coalesce(F.try_element_at(sizes, F.col(name)), slots)
+    tagged = df.withColumn("__slot", F.pmod(F.hash(F.spark_partition_id()), slots))
+    tasks = plan.chunks * tasks_per_chunk + sum(wide.values())
+    return tagged.repartition(min(tasks, MAX_TASKS), name, "__slot").drop("__slot")
 
 
 def range_predicates(plan: ChunkPlan, dtype: T.DataType) -> list[str]:

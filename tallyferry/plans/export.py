@@ -15,6 +15,9 @@ from tallyferry.session import clear_folder
 from tallyferry.sources.delimited import CHUNK, write_delimited
 from tallyferry.specs import Settings, TableSpec, Window, check_mode, moves_in_one_piece
 
+# A chunk is a range of keys, not one task's work: about this much of it per task.
+TASK_MB = 256
+
 
 @dataclass(frozen=True)
 class Exported:
@@ -56,8 +59,9 @@ def export_table(
         return _write_one(moved, spec, path, condition, settings)
     rows = chunk_rows_for(round(size_mb, 1), df.count(), settings.chunk_mb)
     plan = plan_chunks(moved, spec.partition_col, rows)
-    chunked = spread_by_chunk(assign_chunks(moved, plan), plan)
-    write_delimited(chunked, path, settings, chunked=True)
+    tasks = max(1, round(settings.chunk_mb / TASK_MB))
+    chunked = spread_by_chunk(assign_chunks(moved, plan), plan, tasks)
+    write_delimited(chunked, path, settings, chunked=True, max_rows=rows)
     return Exported(spec, path, condition, plan.chunks)
 
 

@@ -38,14 +38,19 @@ def _options(settings: Settings) -> dict[str, str]:
     }
 
 
-def write_delimited(df: DataFrame, path: str, settings: Settings, chunked: bool = False) -> None:
-    """Replace ``path`` by delimited files; ``chunked`` makes one folder per ``chunk_id``."""
+def write_delimited(
+    df: DataFrame, path: str, settings: Settings, chunked: bool = False, max_rows: int = 0
+) -> None:
+    """Replace ``path`` by delimited files of at most ``max_rows`` rows (0 = no limit);
+    ``chunked`` makes one folder per ``chunk_id``."""
     if chunked:
         text = as_text(df.drop(CHUNK)).columns
         body = df.select([F.col(quoted(c)).cast("string").alias(c) for c in text] + [F.col(CHUNK)])
     else:
         body = as_text(df)
     writer = body.write.mode("overwrite").options(**_options(settings))
+    if max_rows:
+        writer = writer.option("maxRecordsPerFile", max_rows)
     if settings.compression:
         writer = writer.option("compression", settings.compression)
     if chunked:
@@ -128,9 +133,9 @@ def conform(text: DataFrame, schema: T.StructType, separator: str = "\t") -> Loa
     does a malformed line. NUL characters are removed first. Target columns that
     the files lack become NULL, or make every row bad if they may not be NULL.
     """
-    has_raw = RAW in text.columns
+    cells = [c for c in text.columns if c != RAW]
     clean = scrub_nul(text)
-    found = {c.lower(): c for c in clean.columns if c != RAW}
+    found = {c.lower(): c for c in cells}
     typed, misfits, absent = [], [], []
     for field in schema.fields:
         name = found.get(field.name.lower())
@@ -147,14 +152,14 @@ def conform(text: DataFrame, schema: T.StructType, separator: str = "\t") -> Loa
         if not field.nullable:
             absent.append(F.when(cell.isNull(), F.lit(field.name)))
         typed.append(value.alias(field.name))
-    raw = F.col(RAW) if has_raw else F.lit(None).cast("string")
+    raw = F.col(RAW) if RAW in text.columns else F.lit(None).cast("string")
     wrong_type = F.concat(F.lit("not of its type: "), F.coalesce(*misfits)) if misfits else F.lit(None)
     missing = F.concat(F.lit("no value: "), F.coalesce(*absent)) if absent else F.lit(None)
     reason = F.coalesce(
         F.when(raw.isNotNull(), F.lit("malformed line")), wrong_type, missing
     ).cast("string")
     joined = F.concat_ws(
-        separator, *[F.coalesce(F.col(quoted(c)), F.lit("")) for c in clean.columns if c != RAW]
+        separator, *[F.coalesce(F.col(quoted(c)), F.lit("")) for c in cells]
     )
     rows = clean.select(*typed, reason.alias(REASON), F.coalesce(raw, joined).alias(LINE))
     return Loaded(rows, schema)
@@ -175,7 +180,10 @@ def load_delimited(
 def write_counting_bad(loaded: Loaded, path: str) -> int:
     """Write the good rows to ``path`` and return how many bad ones were met, in one pass."""
     seen = Observation()
-    watched = loaded.rows.observe(seen, F.count_if(F.col(REASON).isNotNull()).alias("bad"))
+    # Columns are not pruned through the count, so the line is left out before it.
+    watched = loaded.rows.drop(LINE).observe(
+        seen, F.count_if(F.col(REASON).isNotNull()).alias("bad")
+    )
     Loaded(watched, loaded.schema).good().write.mode("overwrite").parquet(path)
     return seen.get["bad"]
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyferry.functions.text import quoted
+
 _SECONDS_PER_WEEK = 604800
 _STAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
@@ -44,7 +46,7 @@ def megabytes(size: Column, digits: int) -> Column:
 
 def ordinal(df: DataFrame, column: str) -> Column:
     """The column as a number (or text) with the same order, for Arrow transfer."""
-    col, dtype = F.col(column), df.schema[column].dataType
+    col, dtype = F.col(quoted(column)), df.schema[column].dataType
     if isinstance(dtype, T.DateType):
         return F.unix_date(col).cast("bigint")
     if isinstance(dtype, T.TimestampType):

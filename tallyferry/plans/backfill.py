@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyferry.functions.predicates import date_window
 from tallyferry.operators.maintain import read_target, replace_window
-from tallyferry.operators.reconcile import reconcile
+from tallyferry.operators.reconcile import reconcile, stamp_report
 from tallyferry.specs import TableSpec, Window
 
 
@@ -65,3 +65,13 @@ def bookmark(df: DataFrame, table_name: str, column: str) -> DataFrame:
     return df.agg(F.max(column).cast("string").alias("last_id")).select(
         F.lit(table_name).alias("table_name"), "last_id"
     )
+
+
+def save_bookmarks(marks: DataFrame, path: str, run_ts: str) -> None:
+    """Append the marks of one run to a bookmark table."""
+    stamp_report(marks, run_ts).write.mode("append").parquet(path)
+
+
+def latest_bookmarks(history: DataFrame) -> DataFrame:
+    """The last mark of each table."""
+    return history.groupBy("table_name").agg(F.max_by("last_id", "run_ts").alias("last_id"))

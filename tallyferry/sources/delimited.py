@@ -126,12 +126,15 @@ class Loaded:
         return self.rows.where(F.col(REASON).isNotNull()).select(REASON, LINE)
 
 
-def conform(text: DataFrame, schema: T.StructType, separator: str = "\t") -> Loaded:
+def conform(
+    text: DataFrame, schema: T.StructType, separator: str = "\t", load_time_col: str | None = None
+) -> Loaded:
     """Type text rows to the target schema, by name and without case.
 
     A cell that is not NULL but cannot be read as its type makes a bad row, as
     does a malformed line. NUL characters are removed first. Target columns that
-    the files lack become NULL, or make every row bad if they may not be NULL.
+    the files lack become NULL, or make every row bad if they may not be NULL;
+    ``load_time_col`` then gets the time of the load, as a column default would.
     """
     cells = [c for c in text.columns if c != RAW]
     clean = scrub_nul(text)
@@ -140,8 +143,8 @@ def conform(text: DataFrame, schema: T.StructType, separator: str = "\t") -> Loa
     for field in schema.fields:
         name = found.get(field.name.lower())
         if name is None:
-            value = F.lit(None).cast(field.dataType)
-            cell = F.lit(None)
+            absent_value = F.current_timestamp() if field.name == load_time_col else F.lit(None)
+            cell = value = absent_value.cast(field.dataType)
         else:
             cell = F.col(quoted(name))
             value = convert(cell, field.dataType)
@@ -171,10 +174,11 @@ def load_delimited(
     schema: T.StructType,
     settings: Settings,
     multi_line: bool = False,
+    load_time_col: str | None = None,
 ) -> Loaded:
     """Read and conform in one plan; the caller decides what the bad rows mean."""
     text = read_delimited(spark, path, settings, multi_line=multi_line)
-    return conform(text, schema, settings.separator)
+    return conform(text, schema, settings.separator, load_time_col)
 
 
 def write_counting_bad(loaded: Loaded, path: str) -> int:

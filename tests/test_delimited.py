@@ -131,6 +131,16 @@ def test_bad_rows_are_told_apart(spark, tmp_path):
     ]
 
 
+def test_columns_the_files_lack(spark, tmp_path):
+    write_lines(str(tmp_path / "in" / "0.csv"), "id", "1")
+    stamp = T.StructField("loaded", T.TimestampType(), False)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("x", T.DateType()), stamp])
+    path = str(tmp_path / "in")
+    row = D.load_delimited(spark, path, schema, PLAIN, load_time_col="loaded").good().first()
+    assert row["x"] is None and row["loaded"] is not None
+    assert values(D.load_delimited(spark, path, schema, PLAIN).bad()) == [("no value: loaded", "1")]
+
+
 def test_stray_quotes_stay(spark, tmp_path):
     write_lines(str(tmp_path / "in" / "0.csv"), "id\tnote", '1\t5" pipe', '2\tsay "hi" now')
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("note", T.StringType())])

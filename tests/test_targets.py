@@ -173,6 +173,15 @@ def test_day_windows_are_empty_for_an_empty_range(spark):
         "2024-02-28", "2024-02-29", "2024-03-01"]
 
 
+def test_bookmarks_keep_the_last_mark(spark, table, tmp_path):
+    orders, path = table("orders"), str(tmp_path / "marks")
+    part = orders.where("o_orderkey < 500")
+    B.save_bookmarks(B.bookmark(part, "orders", "o_orderkey"), path, "2024-01-01 00:00:00")
+    B.save_bookmarks(B.bookmark(orders, "orders", "o_orderkey"), path, "2024-01-02 00:00:00")
+    top = orders.agg(F.max("o_orderkey")).first()[0]
+    assert values(B.latest_bookmarks(spark.read.parquet(path))) == [("orders", str(top))]
+
+
 def test_scratch_is_shared_and_released(spark):
     df = materialise(spark.range(5), "probe")
     assert df.count() == 5

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyferry.functions.digests import row_digest
 from tallyferry.functions.exact import exact_sum
@@ -60,25 +61,24 @@ def checksums(
     ``where`` restricts every checksum; ``by`` gives one set per group.
     """
     sliced = df if where is None else df.where(where)
-    wanted = [c for c in classes if c != "temporal"]
+    plain = sliced.drop(*by) if by else sliced
     parts = []
     aggregates = [F.count(F.lit(1)).alias(_ROW)]
-    for kind in wanted:
-        value, raw = _averages(sliced.drop(*by), kind)
-        aggregates += [value.alias(f"{kind}_value"), raw.alias(f"{kind}_raw")]
-        count = len(columns_of_class(sliced.drop(*by), kind))
-        parts.append(_line(kind, count, f"{kind}_value", f"{kind}_raw"))
-    temporal = columns_of_class(sliced.drop(*by), "temporal")
+    for kind in classes:
+        if kind != "temporal":
+            value, raw = _averages(plain, kind)
+            aggregates += [value.alias(f"{kind}_value"), raw.alias(f"{kind}_raw")]
+            count = len(columns_of_class(plain, kind))
+            parts.append(_line(kind, count, f"{kind}_value", f"{kind}_raw"))
+    temporal = columns_of_class(plain, "temporal")
     if "temporal" in classes and not temporal:
         parts.append(_line("temporal", 0))
-    unchecked = columns_of_class(sliced.drop(*by), UNCHECKED)
+    unchecked = columns_of_class(plain, UNCHECKED)
     if unchecked:
         parts.append(_line(UNCHECKED, len(unchecked)))
     if fingerprint:
-        plain = sliced.drop(*by)
-        digest = row_digest(plain, fingerprint)
-        sliced = sliced.withColumn("__digest", digest)
-        aggregates.append(exact_sum(F.col("__digest"), _long()).alias("__digest_sum"))
+        sliced = sliced.withColumn("__digest", row_digest(plain, fingerprint))
+        aggregates.append(exact_sum(F.col("__digest"), T.LongType()).alias("__digest_sum"))
         parts.append(_line("fingerprint", len(plain.columns), digest="__digest_sum"))
 
     names = ["table_name", *by, "checksum_class", "column_count", "value", "raw_value", "digest",
@@ -97,12 +97,6 @@ def checksums(
     return result.withColumn("table_name", F.lit(table_name)).select(*names)
 
 
-def _long():
-    from pyspark.sql.types import LongType
-
-    return LongType()
-
-
 def _line(kind: str, columns: int, value: str | None = None, raw: str | None = None,
           digest: str | None = None) -> Column:
     def pick(name: str | None, dtype: str) -> Column:
@@ -157,5 +151,5 @@ def table_fingerprint(df: DataFrame, table_name: str, algorithm: str = "xxhash64
     """
     rows = df.select(row_digest(df, algorithm).alias("d"))
     return rows.agg(
-        F.count(F.lit(1)).alias("row_count"), exact_sum(F.col("d"), _long()).alias("fingerprint")
+        F.count(F.lit(1)).alias("row_count"), exact_sum(F.col("d"), T.LongType()).alias("fingerprint")
     ).select(F.lit(table_name).alias("table_name"), "row_count", "fingerprint")

@@ -48,7 +48,10 @@ def export_table(
     if sample_size > 0:
         if spec.partition_col is None:
             return _write_one(df, spec, path, F.lit(True), settings)
-        _, _, condition = sample_slice(df, spec.partition_col, sample_size)
+        if spec.sample_window:
+            condition = date_window(df, spec.date_col, spec.sample_window)
+        else:
+            _, _, condition = sample_slice(df, spec.partition_col, sample_size)
         ordered = sort_desc(df.where(condition), spec.partition_col)
         return _write_one(ordered, spec, path, condition, settings)
     condition = date_window(df, spec.date_col, window)

@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
 
 
 def build_session(app_name: str = "tallyferry", **conf: str) -> SparkSession:
@@ -39,8 +40,11 @@ def scratch_root(spark: SparkSession) -> str:
             raise RuntimeError(
                 f"{_CHECKPOINT_CONF} is not set: name a folder every executor can reach"
             )
-        root = tempfile.mkdtemp(prefix="tallyferry-")
-        spark.conf.set(_CHECKPOINT_CONF, root)
+        # Local runs such as tests only: one JVM, so its own folder is shared enough.
+        app = spark.sparkContext.applicationId
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="tallyferry-")
+        root = _local_roots[app]
     return f"{root.rstrip('/')}/tallyferry/{spark.sparkContext.applicationId}"
 
 

@@ -32,7 +32,8 @@ class TableSpec:
     ``partition_col`` orders chunks and samples, ``date_col`` carries date
     windows (None: the table is always moved whole), ``key_cols`` identify a
     row when two copies are compared cell by cell. ``target_name`` is set when
-    the copy has another name.
+    the copy has another name, ``sample_window`` when samples of this table are
+    a fixed date window instead of its newest keys.
     """
 
     name: str
@@ -40,6 +41,7 @@ class TableSpec:
     date_col: str | None = None
     key_cols: tuple[str, ...] = ()
     target_name: str | None = None
+    sample_window: "Window | None" = None
 
     @property
     def target(self) -> str:

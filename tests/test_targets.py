@@ -7,6 +7,7 @@ from conftest import values
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyferry import session
 from tallyferry.functions.predicates import date_window
 from tallyferry.operators import maintain as M
 from tallyferry.operators import reconcile as R
@@ -182,6 +183,29 @@ def test_bookmarks_keep_the_last_mark(spark, table, tmp_path):
     assert values(B.latest_bookmarks(spark.read.parquet(path))) == [("orders", str(top))]
 
 
+def test_a_table_may_fix_its_sample_window(spark, table, tmp_path):
+    events, window = table("events"), Window("2024-01-03 00:00:00", "2024-01-04 00:00:00")
+    spec = TableSpec("events", "event_id", "ts", sample_window=window)
+    done = export_table(events, spec, str(tmp_path / "out"), sample_size=5)
+    back = import_table(spark, spec, events.schema, str(tmp_path / "out"), str(tmp_path / "t"))
+    assert values(back) == values(events.where(date_window(events, "ts", window)))
+    assert values(back) == values(events.where(done.condition))
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(session, "_CHECKPOINT_CONF", "spark.no.such.setting")
+    assert os.path.isdir(scratch_root(spark).split("/tallyferry/")[0])
+
+    class Elsewhere:
+        conf = spark.conf
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(RuntimeError, match="every executor"):
+        scratch_root(Elsewhere)
+
+
 def test_scratch_is_shared_and_released(spark):
     df = materialise(spark.range(5), "probe")
     assert df.count() == 5

@@ -28,10 +28,7 @@ def replace_rows(target: DataFrame, condition: Column, fresh: DataFrame) -> Data
 
 
 def write_days(df: DataFrame, path: str, date_col: str, mode: str = "errorifexists") -> None:
-    """Write a target partitioned by the day of ``date_col``.
-
-    A busy day spreads over several tasks, told apart by the task that read the rows.
-    """
+    """Write a target partitioned by the day of ``date_col``."""
     _by_day(df, date_col).write.mode(mode).partitionBy(DAY).parquet(path)
 
 
@@ -74,12 +71,12 @@ def replace_window(
             kept = delete_rows(stored.where(on_edge), date_window(stored, date_col, window))
             # Out of the folder before its days are overwritten.
             fresh = fresh.unionByName(materialise(kept.select(*schema.names), "kept"))
-    days = _by_day(fresh, date_col)
+    # At most the days of the window.
     written = {
-        str(r[0]) for r in days.select(DAY).distinct().collect()
-    }  # at most the days of the window
+        str(r[0]) for r in fresh.select(F.col(date_col).cast("date")).distinct().collect()
+    }
     (
-        days.write.mode("overwrite")
+        _by_day(fresh, date_col).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
         .parquet(path)

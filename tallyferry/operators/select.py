@@ -22,16 +22,23 @@ def scan_select(
     selected = df.where(conjoin(predicate))
     if columns is not None:
         selected = selected.select(*dict.fromkeys([*columns, *([newest_by] if newest_by else [])]))
-    if newest_by is not None:
-        selected = selected.orderBy(F.col(newest_by).desc())
-    if limit > 0:
+    if newest_by is not None and limit > 0:
+        selected = selected.orderBy(F.col(newest_by).desc()).limit(limit)
+    elif newest_by is not None:
+        selected = sort_desc(selected, newest_by)
+    elif limit > 0:
         selected = selected.limit(limit)
     return selected.select(*columns) if columns is not None else selected
 
 
 def sort_desc(df: DataFrame, key: str) -> DataFrame:
-    """Whole table in descending key order (range-partitioned, then sorted)."""
-    return df.orderBy(F.col(key).desc())
+    """Whole table in descending key order.
+
+    The reading task is the last sort column, so that range partitioning can
+    cut through the rows of a hot key.
+    """
+    spread = df.withColumn("__spread", F.spark_partition_id())
+    return spread.orderBy(F.col(key).desc(), "__spread").drop("__spread")
 
 
 def max_key(df: DataFrame, key: str) -> DataFrame:

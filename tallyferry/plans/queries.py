@@ -31,7 +31,7 @@ from tallyferry.plans.oracle_text import (
     CLASSES, checksum_rows, chunk_cuts, digest_sum, row_bytes, table_bytes,
 )
 from tallyferry.plans.registry import query
-from tallyferry.session import scratch_path
+from tallyferry.session import materialise, scratch_path
 from tallyferry.sources import delimited as T
 from tallyferry.sources.tables import read_parquet_table
 from tallyferry.specs import Settings, TableSpec, Window
@@ -759,8 +759,11 @@ where cast(d as date) not in (select run_day from report)
 def failure_scan(spark, sf):
     events = _read(spark, sf, "events")
     user = F.when(F.col("event_id") % 4000 == 0, F.col("user_id") + 1).otherwise(F.col("user_id"))
-    reports = B.report_by_day(
-        events, events.withColumn("user_id", user), EVENTS, Window(end="2024-01-28 00:00:00")
+    reports = materialise(
+        B.report_by_day(
+            events, events.withColumn("user_id", user), EVENTS, Window(end="2024-01-28 00:00:00")
+        ),
+        "reports",
     )
     expected = B.day_windows(spark, "2023-12-30", "2024-02-03").withColumnRenamed("from_date", "run_day")
     return R.failure_scan(reports, expected, "run_day")

@@ -107,3 +107,15 @@ def test_scan_prunes_columns_and_pushes_filters(table):
     plan = plan_of(df)
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan
     assert "GreaterThan(o_totalprice,5.0)" in plan
+
+
+def test_descending_sort_cuts_through_a_hot_key(spark):
+    df = spark.range(0, 4000, 1, 16).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = X.sort_desc(df, "k").withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    keys = [r["k"] for r in rows]
+    assert keys == sorted(keys, reverse=True)
+    assert len({r["part"] for r in rows if r["k"] == 7}) > 1

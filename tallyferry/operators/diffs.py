@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyferry.functions.predicates import conjoin
 from tallyferry.functions.text import quoted
 from tallyferry.operators.ordering import number_rows
 
@@ -55,8 +56,13 @@ def field_diff(
                 raise RepeatedKey(f"{list(keys)} repeats in the {side} table")
     compared = list(columns) if columns is not None else [c for c in source.columns if c not in keys]
     left = _packed(source, keys, compared, "source")
-    right = _packed(target, keys, compared, "target")
-    joined = left.join(right, list(keys), "full_outer")
+    right = _packed(target, keys, compared, "target").withColumnsRenamed(
+        {k: f"__{k}" for k in keys}
+    )
+    same_key = conjoin(*[F.col(quoted(k)).eqNullSafe(F.col(quoted(f"__{k}"))) for k in keys])
+    joined = left.join(right, same_key, "full_outer").select(
+        *[F.coalesce(quoted(k), quoted(f"__{k}")).alias(k) for k in keys], "source", "target"
+    )
     # One struct comparison per row; cells are only looked at in rows that differ.
     rows = joined.where(~F.col("source").eqNullSafe(F.col("target")))
     both = F.col("source").isNotNull() & F.col("target").isNotNull()

@@ -58,15 +58,19 @@ def number_rows(
     )
 
 
-def newest(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """The keys at the ``rows`` highest positions, NULL keys left out.
+def top_rows(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """The ``rows`` rows with the highest keys, in descending order.
 
     The scan is coalesced to a few tasks per core first, so the merge of the
     per-task winners grows with the cluster and not with the table.
     """
     slots = 4 * df.sparkSession.sparkContext.defaultParallelism
-    keys = df.where(F.col(key).isNotNull())
-    return keys.coalesce(slots).orderBy(F.col(key).desc()).limit(rows)
+    return df.coalesce(slots).orderBy(F.col(key).desc()).limit(rows)
+
+
+def newest(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """The same without NULL keys."""
+    return top_rows(df.where(F.col(key).isNotNull()), key, rows)
 
 
 def key_at_position(df: DataFrame, key: str, position: int) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyferry.functions.predicates import conjoin, key_range, typed_literal
-from tallyferry.operators.ordering import key_at_position, newest
+from tallyferry.operators.ordering import key_at_position, newest, top_rows
 
 
 def scan_select(
@@ -23,7 +23,7 @@ def scan_select(
     if columns is not None:
         selected = selected.select(*dict.fromkeys([*columns, *([newest_by] if newest_by else [])]))
     if newest_by is not None and limit > 0:
-        selected = selected.orderBy(F.col(newest_by).desc()).limit(limit)
+        selected = top_rows(selected, newest_by, limit)
     elif newest_by is not None:
         selected = sort_desc(selected, newest_by)
     elif limit > 0:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tallyferry.operators.reconcile import reconcile
 from tallyferry.specs import TableSpec
@@ -32,3 +32,9 @@ def reconcile_tables(
         for spec in specs
     ]
     return reduce(DataFrame.unionByName, reports)
+
+
+def schema_specs(spark: SparkSession, schema: str) -> list[TableSpec]:
+    """Specs of all tables of a catalog schema, for a report over the whole schema."""
+    names = spark.sql(f"SHOW TABLES IN {schema}").where("NOT isTemporary").select("tableName")
+    return [TableSpec(f"{schema}.{r[0]}") for r in names.collect()]

@@ -75,6 +75,18 @@ def test_group_missing_on_one_side_fails(spark):
     assert found["a", "number"] == R.SUCCESS and found["b", "number"] == R.FAILURE
 
 
+def test_null_groups_match(spark):
+    a = spark.createDataFrame([(1, "a"), (2, None)], "x int, g string")
+    report = R.reconcile(a, a, "t", by=["g"], fingerprint=None)
+    assert {(r["g"], r["status"]) for r in report.collect()} == {("a", R.SUCCESS), (None, R.SUCCESS)}
+
+
+def test_null_keys_match(spark):
+    a = spark.createDataFrame([(1, None, "x"), (None, 2, "y")], "id int, part int, v string")
+    b = spark.createDataFrame([(1, None, "x"), (None, 2, "z")], "id int, part int, v string")
+    assert values(D.field_diff(a, b, ["id", "part"])) == [(None, 2, "v", "y", "z", "changed")]
+
+
 def test_exact_sum_of_extreme_values(spark):
     rows = [2**63 - 1, -(2**63), 2**63 - 1, None, 5, -7, 2**63 - 1]
     df = spark.createDataFrame([(v,) for v in rows], "x long")

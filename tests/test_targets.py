@@ -13,7 +13,7 @@ from tallyferry.operators import maintain as M
 from tallyferry.operators import reconcile as R
 from tallyferry.operators.sizing import analyzed_bytes
 from tallyferry.plans import backfill as B
-from tallyferry.plans.audit import reconcile_tables
+from tallyferry.plans.audit import reconcile_tables, schema_specs
 from tallyferry.plans.export import export_table, export_tables
 from tallyferry.plans.imports import housekeep, import_table, import_tables
 from tallyferry.session import materialise, release_scratch, scratch_root
@@ -89,6 +89,19 @@ def test_catalog_tables(spark):
     assert not spark.catalog.tableExists("copied")
 
 
+def test_report_over_a_catalog_schema(spark, table):
+    spark.sql("CREATE DATABASE IF NOT EXISTS mart")
+    for name in ("region", "nation"):
+        table(name).write.mode("overwrite").saveAsTable(f"mart.{name}")
+    specs = schema_specs(spark, "mart")
+    assert [s.name for s in specs] == ["mart.nation", "mart.region"]
+    read = lambda spec: spark.table(spec.name)
+    report = reconcile_tables(read, lambda spec: read(spec).limit(3), specs)
+    assert {(r["table_name"], r["status"]) for r in report.where("checksum_class = 'fingerprint'").collect()} == {
+        ("mart.nation", R.FAILURE), ("mart.region", R.FAILURE)}
+    M.drop_if_present(spark, [s.name for s in specs])
+
+
 def test_export_modes_and_layout(spark, table, tmp_path):
     events, out = table("events"), str(tmp_path / "out")
     with pytest.raises(ModeConflict):

@@ -16,9 +16,9 @@ def row_text(columns: Sequence[str]) -> Column:
     """One string per row: each cell as ``<length>:<text>``, NULL as ``-``."""
     cells = []
     for name in columns:
-        cell = F.col(quoted(name)).cast("string")
-        cells.append(F.coalesce(F.concat(F.length(cell).cast("string"), F.lit(":"), cell), F.lit("-")))
-    return F.concat(*cells)
+        cell = f"cast({quoted(name)} as string)"
+        cells.append(f"coalesce(concat(cast(length({cell}) as string), ':', {cell}), '-')")
+    return F.expr(f"concat({', '.join(cells)})")
 
 
 def row_digest(df: DataFrame, algorithm: str = "xxhash64") -> Column:
@@ -33,7 +33,7 @@ def row_digest(df: DataFrame, algorithm: str = "xxhash64") -> Column:
         return F.conv(head, 16, 10).cast("bigint")
     if algorithm == "xxhash64":
         # xxhash64 skips NULLs, so where they stand is hashed as well.
-        values = [F.col(quoted(c)) for c in df.columns]
-        nulls = [F.isnull(v) for v in values]
-        return F.shiftrightunsigned(F.xxhash64(*values, *nulls), 4)
+        values = [quoted(c) for c in df.columns]
+        nulls = [f"isnull({v})" for v in values]
+        return F.expr(f"shiftrightunsigned(xxhash64({', '.join(values + nulls)}), 4)")
     raise ValueError(f"unknown digest {algorithm!r}: use 'md5' or 'xxhash64'")

@@ -10,24 +10,28 @@ from pyspark.sql import types as T
 _LIMBS = {T.LongType: (22, 3), T.IntegerType: (16, 2)}
 
 
-def exact_sum(value: Column, dtype: T.DataType) -> Column:
-    """Sum of an integral or decimal column as an exact decimal; NULL counts as 0.
+def exact_sum(value: str, dtype: T.DataType) -> Column:
+    """Sum of an integral or decimal SQL expression as an exact decimal; NULL counts as 0."""
+    return F.expr(exact_sum_sql(value, dtype))
+
+
+def exact_sum_sql(value: str, dtype: T.DataType) -> str:
+    """The same as SQL text, which builds wide aggregates with few calls to the JVM.
 
     A long is summed as three 22-bit limbs in plain long arithmetic, exact up to
     2**41 rows and quicker than casting every row to decimal; an int as two.
     """
     if isinstance(dtype, T.DecimalType):
-        return F.coalesce(F.sum(value), F.lit(0).cast(dtype))
+        return f"coalesce(sum({value}), cast(0 as {dtype.simpleString()}))"
     if isinstance(dtype, (T.ByteType, T.ShortType)):
-        return F.coalesce(F.sum(value.cast("bigint")), F.lit(0)).cast("decimal(38,0)")
+        return f"cast(coalesce(sum(cast({value} as bigint)), 0) as decimal(38,0))"
     bits, count = _LIMBS[type(dtype)]
-    total = None
+    parts = []
     for i in range(count):
-        limb = F.shiftright(value, i * bits) if i else value
+        limb = f"shiftright({value}, {i * bits})" if i else value
         if i < count - 1:
-            limb = limb.bitwiseAND(F.lit((1 << bits) - 1))
+            limb = f"({limb} & {(1 << bits) - 1})"
         # decimal(19,0) * decimal(18,0) stays within 38 digits, hence exact.
-        part = F.sum(limb.cast("bigint")).cast("decimal(19,0)")
-        part = part * F.lit(1 << (i * bits)).cast("decimal(18,0)")
-        total = part if total is None else total + part
-    return F.coalesce(total.cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+        total = f"cast(sum(cast({limb} as bigint)) as decimal(19,0))"
+        parts.append(f"{total} * cast({1 << (i * bits)} as decimal(18,0))")
+    return f"coalesce(cast({' + '.join(parts)} as decimal(38,0)), cast(0 as decimal(38,0)))"

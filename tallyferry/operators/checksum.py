@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyferry.functions.digests import row_digest
-from tallyferry.functions.exact import exact_sum
+from tallyferry.functions.exact import exact_sum, exact_sum_sql
 from tallyferry.functions.scalars import ordinal
 from tallyferry.functions.text import quoted
 from tallyferry.operators.columns import UNCHECKED, columns_of_class
@@ -22,16 +22,17 @@ from tallyferry.operators.columns import UNCHECKED, columns_of_class
 _ROW = "__rows"
 
 
-def _mean(df: DataFrame, name: str, kind: str) -> Column:
+# Built as SQL text: a wide table would take thousands of calls to the JVM otherwise.
+def _mean(df: DataFrame, name: str, kind: str) -> str:
     """Average over all rows with NULL as 0 (or as empty text); NULL without rows."""
-    cell, rows = F.col(quoted(name)), F.count(F.lit(1))
+    cell = quoted(name)
     if kind == "string":
-        total = F.coalesce(F.sum(F.length(cell).cast("bigint")), F.lit(0))
+        total = f"coalesce(sum(cast(length({cell}) as bigint)), 0)"
     elif kind == "number":
-        total = exact_sum(cell, df.schema[name].dataType)
+        total = exact_sum_sql(cell, df.schema[name].dataType)
     else:
-        total = F.coalesce(F.sum(cell.cast("double")), F.lit(0.0))
-    return F.try_divide(total.cast("double"), rows.cast("double"))
+        total = f"coalesce(sum(cast({cell} as double)), 0)"
+    return f"try_divide(cast({total} as double), cast(count(1) as double))"
 
 
 def _averages(df: DataFrame, kind: str) -> tuple[Column, Column]:
@@ -40,10 +41,8 @@ def _averages(df: DataFrame, kind: str) -> tuple[Column, Column]:
     if not means:
         nothing = F.lit(None).cast("double")
         return nothing, nothing
-    rounded, raw = F.lit(0.0), F.lit(0.0)
-    for mean in means:
-        rounded, raw = rounded + F.round(mean, 2), raw + mean
-    return F.round(rounded, 2), raw
+    rounded = " + ".join(f"round({m}, 2)" for m in means)
+    return F.expr(f"round({rounded}, 2)"), F.expr(" + ".join(means))
 
 
 def checksums(
@@ -78,7 +77,7 @@ def checksums(
         parts.append(_line(UNCHECKED, len(unchecked)))
     if fingerprint:
         sliced = sliced.withColumn("__digest", row_digest(plain, fingerprint))
-        aggregates.append(exact_sum(F.col("__digest"), T.LongType()).alias("__digest_sum"))
+        aggregates.append(exact_sum("__digest", T.LongType()).alias("__digest_sum"))
         parts.append(_line("fingerprint", len(plain.columns), digest="__digest_sum"))
 
     names = ["table_name", *by, "checksum_class", "column_count", "value", "raw_value", "digest",
@@ -87,7 +86,9 @@ def checksums(
     if parts:
         summed = sliced.groupBy(*by).agg(*aggregates)
         lines.append(
-            summed.select(*by, _ROW, F.inline(F.array(*parts))).withColumnRenamed(_ROW, "row_count")
+            summed.select(
+                *by, F.col(_ROW).alias("row_count"), F.expr(f"inline(array({', '.join(parts)}))")
+            )
         )
     if "temporal" in classes and temporal:
         lines.append(_distinct_counts(sliced, temporal, by))
@@ -97,17 +98,12 @@ def checksums(
     return result.withColumn("table_name", F.lit(table_name)).select(*names)
 
 
-def _line(kind: str, columns: int, value: str | None = None, raw: str | None = None,
-          digest: str | None = None) -> Column:
-    def pick(name: str | None, dtype: str) -> Column:
-        return F.col(name).cast(dtype) if name else F.lit(None).cast(dtype)
-
-    return F.struct(
-        F.lit(kind).alias("checksum_class"),
-        F.lit(columns).cast("bigint").alias("column_count"),
-        pick(value, "double").alias("value"),
-        pick(raw, "double").alias("raw_value"),
-        pick(digest, "decimal(38,0)").alias("digest"),
+def _line(kind: str, columns: int, value: str = "null", raw: str = "null",
+          digest: str = "null") -> str:
+    return (
+        f"named_struct('checksum_class', '{kind}', 'column_count', cast({columns} as bigint), "
+        f"'value', cast({value} as double), 'raw_value', cast({raw} as double), "
+        f"'digest', cast({digest} as decimal(38,0)))"
     )
 
 
@@ -151,5 +147,5 @@ def table_fingerprint(df: DataFrame, table_name: str, algorithm: str = "xxhash64
     """
     rows = df.select(row_digest(df, algorithm).alias("d"))
     return rows.agg(
-        F.count(F.lit(1)).alias("row_count"), exact_sum(F.col("d"), T.LongType()).alias("fingerprint")
+        F.count(F.lit(1)).alias("row_count"), exact_sum("d", T.LongType()).alias("fingerprint")
     ).select(F.lit(table_name).alias("table_name"), "row_count", "fingerprint")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyferry.functions.text import quoted
 from tallyferry.operators.checksum import checksums
 from tallyferry.operators.columns import UNCHECKED
 
@@ -50,74 +51,53 @@ def compare_checksums(source: DataFrame, target: DataFrame, by: Sequence[str] =
         )
     ]
     paired = both.groupBy(*keys).agg(F.max("column_count").alias("column_count"), *picked)
-    judged = paired.fillna(0, ["source_rows", "target_rows"]).select(
-        *keys,
-        _status().alias("status"),
-        _shown("source").alias("source_value"),
-        _shown("target").alias("target_value"),
+    judged = paired.fillna(0, ["source_rows", "target_rows"]).selectExpr(
+        *[quoted(k) for k in keys],
+        f"{_STATUS} as status",
+        f"{_shown('source')} as source_value",
+        f"{_shown('target')} as target_value",
         "source_rows",
         "target_rows",
         "column_count",
     )
-    return judged.select(
-        *keys, "status", "source_value", "target_value", "source_rows", "target_rows",
-        _message().alias("message"),
+    return judged.selectExpr(
+        *[quoted(k) for k in keys],
+        "status", "source_value", "target_value", "source_rows", "target_rows",
+        f"{_MESSAGE} as message",
     )
 
 
-def _status() -> Column:
-    rows = F.col("source_rows") == F.col("target_rows")
-    exact = F.col("source_num").eqNullSafe(F.col("target_num"))
-    digest = F.col("source_digest").eqNullSafe(F.col("target_digest"))
-    gap = F.abs(F.col("source_raw") - F.col("target_raw"))
-    scale = F.greatest(F.abs("source_raw"), F.abs("target_raw"))
-    near = F.coalesce(gap <= scale * FLOAT_TOLERANCE, F.lit(False))
-    raw_same = F.col("source_raw").eqNullSafe(F.col("target_raw"))
-    value = (
-        F.when(F.col("checksum_class") == "float", near | raw_same)
-        .when(F.col("checksum_class") == "fingerprint", digest)
-        .otherwise(exact)
-    )
-    # A target slice without rows has no average: only the row counts can be compared.
-    no_value = F.col("target_num").isNull() & (F.col("checksum_class") != "fingerprint")
-    passed = F.when(no_value, rows).otherwise(value & rows)
-    return (
-        F.when(F.col("checksum_class") == UNCHECKED, WARNING)
-        .when(F.col("column_count") == 0, SUCCESS)
-        .when(passed, SUCCESS)
-        .otherwise(FAILURE)
-    )
-
-
-def _shown(side: str) -> Column:
-    number = F.format_string("%.2f", F.col(f"{side}_num"))
-    counted = F.format_string("%.0f", F.col(f"{side}_num"))
-    return (
-        F.when(F.col("checksum_class") == "fingerprint", F.col(f"{side}_digest").cast("string"))
-        .when(F.col(f"{side}_num").isNull(), F.lit(None).cast("string"))
-        .when(F.col("checksum_class") == "temporal", counted)
-        .otherwise(number)
-    )
-
-
-def _message() -> Column:
-    kind = F.col("checksum_class")
-    rows = F.concat(
-        F.lit("ROWS: "), F.col("source_rows").cast("string"), F.lit(" vs "),
-        F.col("target_rows").cast("string"),
-    )
-    values = F.concat(
-        F.coalesce("source_value", F.lit("0")), F.lit(" vs "),
-        F.coalesce("target_value", F.lit("0")), F.lit(" and "), rows,
-    )
-    body = (
-        F.when(kind == UNCHECKED, F.concat(F.col("column_count").cast("string"),
-                                           F.lit(" columns not covered by a checksum")))
-        .when(F.col("column_count") == 0, F.concat(F.lit("no "), kind, F.lit(" columns")))
-        .when(F.col("target_value").isNull(), rows)
-        .otherwise(values)
-    )
-    return F.concat_ws(" ", F.col("status"), F.concat(F.col("table_name"), F.lit(":")), body)
+_ROWS_AGREE = "source_rows = target_rows"
+# Equal (NaN and infinities too) or nearly so.
+_FLOATS_AGREE = (
+    "(source_raw <=> target_raw or coalesce(abs(source_raw - target_raw)"
+    f" <= greatest(abs(source_raw), abs(target_raw)) * {FLOAT_TOLERANCE}D, false))"
+)
+# A target slice without rows has no average: only the row counts can be compared.
+_STATUS = f"""case
+    when checksum_class = '{UNCHECKED}' then '{WARNING}'
+    when column_count = 0 then '{SUCCESS}'
+    when not ({_ROWS_AGREE}) then '{FAILURE}'
+    when checksum_class = 'fingerprint'
+        then if(source_digest <=> target_digest, '{SUCCESS}', '{FAILURE}')
+    when target_num is null then '{SUCCESS}'
+    when checksum_class = 'float' then if({_FLOATS_AGREE}, '{SUCCESS}', '{FAILURE}')
+    else if(source_num <=> target_num, '{SUCCESS}', '{FAILURE}') end"""
+_MESSAGE = f"""concat_ws(' ', status, concat(table_name, ':'), case
+    when checksum_class = '{UNCHECKED}' then concat(column_count, ' columns not covered by a checksum')
+    when column_count = 0 then concat('no ', checksum_class, ' columns')
+    else concat(
+        if(target_value is null, '',
+           concat(coalesce(source_value, '0'), ' vs ', target_value, ' and ')),
+        'ROWS: ', source_rows, ' vs ', target_rows) end)"""
+
+
+def _shown(side: str) -> str:
+    return f"""case
+        when checksum_class = 'fingerprint' then cast({side}_digest as string)
+        when {side}_num is null then cast(null as string)
+        when checksum_class = 'temporal' then format_string('%.0f', {side}_num)
+        else format_string('%.2f', {side}_num) end"""
 
 
 def stamp_report(report: DataFrame, run_ts: str) -> DataFrame:

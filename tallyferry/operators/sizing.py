@@ -15,24 +15,22 @@ from tallyferry.session import estimated_bytes
 
 def row_bytes(df: DataFrame) -> Column:
     """Bytes of one row: text by its UTF-8 length, other scalars 8, NULL 0."""
-    total = F.lit(0).cast("bigint")
-    for field in df.schema.fields:
-        total = total + _cell_bytes(F.col(quoted(field.name)), field.dataType)
-    return total
+    cells = [_cell_bytes(quoted(f.name), f.dataType) for f in df.schema.fields]
+    return F.expr(" + ".join(cells))
 
 
-def _cell_bytes(cell: Column, dtype: T.DataType) -> Column:
+def _cell_bytes(cell: str, dtype: T.DataType) -> str:
     if isinstance(dtype, (T.StringType, T.BinaryType)):
-        size = F.octet_length(cell)
+        size = f"octet_length({cell})"
     elif isinstance(dtype, T.ArrayType) and not isinstance(
         dtype.elementType, (T.StringType, T.ArrayType, T.MapType, T.StructType)
     ):
-        size = F.size(cell) * 8
+        size = f"size({cell}) * 8"
     elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        size = F.octet_length(F.to_json(cell))
+        size = f"octet_length(to_json({cell}))"
     else:
-        size = F.lit(8)
-    return F.when(cell.isNotNull(), size).otherwise(F.lit(0)).cast("bigint")
+        size = "8"
+    return f"cast(if({cell} is null, 0, {size}) as bigint)"
 
 
 def table_size(df: DataFrame, table_name: str) -> DataFrame:

@@ -90,12 +90,12 @@ def test_null_keys_match(spark):
 def test_exact_sum_of_extreme_values(spark):
     rows = [2**63 - 1, -(2**63), 2**63 - 1, None, 5, -7, 2**63 - 1]
     df = spark.createDataFrame([(v,) for v in rows], "x long")
-    total = df.agg(exact_sum(F.col("x"), df.schema["x"].dataType).alias("s")).first()["s"]
+    total = df.agg(exact_sum("x", df.schema["x"].dataType).alias("s")).first()["s"]
     assert total == decimal.Decimal(sum(v for v in rows if v is not None))
     for dtype in ("tinyint", "smallint", "int", "decimal(20,4)"):
         small = spark.createDataFrame([(-3,), (None,), (100,)], "x int").select(F.col("x").cast(dtype))
-        assert small.agg(exact_sum(F.col("x"), small.schema["x"].dataType)).first()[0] == 97
-    assert df.limit(0).agg(exact_sum(F.col("x"), df.schema["x"].dataType)).first()[0] == 0
+        assert small.agg(exact_sum("x", small.schema["x"].dataType)).first()[0] == 97
+    assert df.limit(0).agg(exact_sum("x", df.schema["x"].dataType)).first()[0] == 0
 
 
 @pytest.mark.parametrize("algorithm", ["md5", "xxhash64"])

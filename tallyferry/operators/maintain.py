@@ -41,11 +41,16 @@ def read_target(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     """A target as its own columns, day partition left out. Empty folder: no rows."""
     if not _has_data(spark, path):
         return spark.createDataFrame([], schema)
-    by_day = any(n.startswith(f"{DAY}=") for n in child_names(spark, path))
-    full = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())]) if by_day else schema
+    full = schema
+    if is_by_day(spark, path):
+        full = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
     return spark.read.schema(full).parquet(path).select(*schema.names)
 
 
+def is_by_day(spark: SparkSession, path: str) -> bool:
+    return any(n.startswith(f"{DAY}=") for n in child_names(spark, path))
+
+
 def _has_data(spark: SparkSession, path: str) -> bool:
     return any(not n.startswith(("_", ".")) for n in child_names(spark, path))
 
@@ -62,6 +67,8 @@ def replace_window(
     fresh = fresh.select(*schema.names)
     fresh = fresh.where(F.coalesce(date_window(fresh, date_col, window), F.lit(False)))
     if _has_data(spark, path):
+        if not is_by_day(spark, path):
+            raise ValueError(f"{path} is not partitioned by day: write it with write_days")
         stored = spark.read.schema(
             T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
         ).parquet(path)
@@ -108,8 +115,12 @@ def append_path(rows: DataFrame, path: str, schema: T.StructType) -> None:
 
 
 def truncate_path(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Empty a folder target, keeping its schema in one empty file."""
-    spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(path)
+    """Empty a folder target. A target by days loses its day folders; any other
+    keeps its schema in one empty file."""
+    if is_by_day(spark, path):
+        clear_folder(spark, path)
+    else:
+        spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def truncate_tables(spark: SparkSession, tables: list[str]) -> None:

@@ -91,6 +91,8 @@ def import_tables(
 
 
 def housekeep(spark: SparkSession, read, specs, targets: str) -> None:
-    """Empty the target of every table of a job."""
+    """Empty the target of every table of a job, whether or not it exists yet."""
     for spec in specs:
-        truncate_path(spark, f"{targets.rstrip('/')}/{spec.target}", read(spec).schema)
+        path = f"{targets.rstrip('/')}/{spec.target}"
+        if path_exists(spark, path):
+            truncate_path(spark, path, read(spec).schema)

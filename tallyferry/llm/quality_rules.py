@@ -36,7 +36,7 @@ def _words(text: Column) -> Column:
 def _runs(hashes: str, size: int) -> Column:
     """Hashes of all runs of ``size`` neighbouring words."""
     places = F.sequence(F.lit(0), F.size(hashes) - size)
-    run = F.transform(places, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(size)]))
+    run = F.transform(places, lambda i: F.xxhash64(F.get(hashes, i), *[F.get(hashes, i + k) for k in range(1, size)]))
     return F.when(F.size(hashes) >= size, run).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -51,8 +51,12 @@ def with_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def _buckets(buckets: int) -> Column:
     """Buckets of a document's single words and neighbouring pairs."""
-    both = F.concat(F.col("_h"), _runs("_h", 2))
-    return F.transform(both, lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+    def bucket(h: Column) -> Column:
+        return F.pmod(h, F.lit(buckets)).cast("int")
+
+    # The following word is null after the last one, and a hash passes nulls over.
+    pairs = F.transform("_h", lambda h, i: bucket(F.xxhash64(h, F.get("_h", i + 1))))
+    return F.concat(F.transform("_h", bucket), F.slice(pairs, 1, F.greatest(F.size("_h") - 1, F.lit(0))))
 
 
 def base_counts(worded: DataFrame) -> DataFrame:
@@ -62,7 +66,7 @@ def base_counts(worded: DataFrame) -> DataFrame:
     texts without any skip the sort.
     """
     lines = F.filter(F.split("_body", "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACE))) > 0)
-    sorted_runs = F.array_sort(F.transform("_runs", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    sorted_runs = F.sort_array(F.transform("_runs", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     twice = F.filter(
         F.transform(
             "_sorted",

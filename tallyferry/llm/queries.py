@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyferry.llm import line_dedup, mixing, quality_rules
+from tallyferry.llm import bpe_automaton, line_dedup, mixing, quality_rules, token_files
+from tallyferry.session import scratch_path
 
 QUERIES = {}
 ORACLES = {}
@@ -21,6 +22,13 @@ def _query(sql: str | None = None):
     return register
 
 
+def tokenizer_path() -> str:
+    """The byte-level vocabulary file of the public tokenizers package, at the same place on all machines."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def _read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
@@ -52,3 +60,19 @@ def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Documents without the lines that an earlier document holds."""
     thin = line_dedup.dedup_lines(_read(spark, sf, "documents").select("doc_id", "text"))
     return thin.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@_query()
+def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Where each document's ids lie in the token files, and their checksum."""
+    docs = _read(spark, sf, "documents").select("doc_id", "text")
+    folder = scratch_path(spark, "token-files")
+    manifest = token_files.write_token_files(docs, folder, tokenizer_path())
+    return token_files.read_token_files(spark, folder, manifest)
+
+
+@_query()
+def op10_bpe_automaton(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of each document's ids and of the text decoded from them."""
+    docs = _read(spark, sf, "documents").select("doc_id", "text")
+    return bpe_automaton.round_trip_digests(docs, tokenizer_path())

@@ -250,7 +250,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
       ``ids`` is replaced.
     """
     kept = [c for c in docs.columns if c != "ids"]
-    schema = StructType(docs.select(*[f"`{c}`" for c in kept]).schema.fields).add("ids", "array<int>")
+    schema = StructType([*docs.select(*[f"`{c}`" for c in kept]).schema.fields]).add("ids", "array<int>")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         machine = automaton(path)
@@ -263,7 +263,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
 
 def decode_documents(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """``encoded`` with ``decoded``: the text of ``ids_col``; null ids give an empty text."""
-    schema = StructType(encoded.schema.fields).add("decoded", "string")
+    schema = StructType([*encoded.schema.fields]).add("decoded", "string")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         machine = automaton(path)

@@ -58,6 +58,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_NOT_ALNUM = np.ones(256, bool)
+_NOT_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
@@ -76,20 +78,28 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words(NamedTuple):
-    """Words of a slice: byte positions, the document each belongs to, its hash."""
+    """Words of a slice: byte positions, the document each belongs to, its hash.
+
+    ``stems``: for each length asked for, which words are longer and the hashes of
+    their first bytes.
+    """
 
     starts: np.ndarray
     ends: np.ndarray
     doc: np.ndarray
     hashes: np.ndarray
+    stems: list[tuple[np.ndarray, np.ndarray]]
+
 
+def words(part: Slice, lower: bool = False, letters: bool = False, stems: tuple[int, ...] = ()) -> Words:
+    """Runs of bytes other than ``[\\x20\\x09-\\x0D]``, never across documents.
 
-def words(part: Slice, lower: bool = False) -> Words:
-    """Runs of bytes other than ``[\\x20\\x09-\\x0D]``, never across documents."""
+    With ``letters``, runs of ASCII letters and digits and of bytes beyond ASCII.
+    """
     data = LOWER[part.data] if lower else part.data
     n = len(data)
     inside = np.zeros(n + 2, bool)
-    inside[1:-1] = ~_SPACE[data]
+    inside[1:-1] = ~(_NOT_ALNUM if letters else _SPACE)[data]
     border = np.zeros(n + 1, bool)
     border[part.starts] = True
     border[part.ends] = True
@@ -99,8 +109,14 @@ def words(part: Slice, lower: bool = False) -> Words:
     up, down = _power_tables(n)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE_CODES[data] * up[:n], out=sums[1:])
-    hashes = mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
-    return Words(begin, end, doc, hashes)
+    scale = down[begin]
+    hashes = mix((sums[end] - sums[begin]) * scale + (end - begin).astype(np.uint64))
+    parts = []
+    for size in stems:
+        longer = np.flatnonzero(end - begin > size)
+        at = begin[longer]
+        parts.append((longer, mix((sums[at + size] - sums[at]) * scale[longer] - np.uint64(size))))
+    return Words(begin, end, doc, hashes, parts)
 
 
 def chain(hashes: np.ndarray, size: int) -> np.ndarray:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyferry.llm import bpe_automaton, line_dedup, mixing, quality_rules, token_files
+from tallyferry.llm import bpe_automaton, line_dedup, mixing, quality_rules, token_files, toxicity
+from tallyferry.llm.labelled import held_out
 from tallyferry.session import scratch_path
 
 QUERIES = {}
@@ -33,6 +34,17 @@ def _read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+@_query()
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity score of each document."""
+    docs = _read(spark, sf, "documents").select("doc_id", "text")
+    weights = toxicity.fit(docs, _read(spark, sf, "labels"))
+    return toxicity.score(docs, weights).select(
+        "doc_id", held_out().alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @_query()
 def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """Words that a mix by source weights takes of each document."""

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyferry.llm import bpe_automaton, line_dedup, mixing, quality_rules, token_files, toxicity
+from tallyferry.llm import (
+    bpe_automaton, html_text, line_dedup, mixing, ngram_join, order_minhash, quality_rank, quality_rules, token_files,
+    toxicity,
+)
 from tallyferry.llm.labelled import held_out
 from tallyferry.session import scratch_path
 
@@ -34,6 +37,24 @@ def _read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+@_query()
+def op1_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of each page."""
+    pages = _read(spark, sf, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+@_query()
+def op2_quality_rank(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality score of each document."""
+    docs = _read(spark, sf, "documents").select("doc_id", "text")
+    ranking = quality_rank.fit(docs, _read(spark, sf, "labels"))
+    return quality_rank.score(docs, ranking).select(
+        "doc_id", held_out().alias("held_out"), "score",
+        (F.col("score") >= quality_rank.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @_query()
 def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Toxicity score of each document."""
@@ -83,6 +104,18 @@ def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.read_token_files(spark, folder, manifest)
 
 
+@_query()
+def op8_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of each document, of its edited text, and how alike they are."""
+    return order_minhash.compare_neighbours(_read(spark, sf, "documents"))
+
+
+@_query()
+def op9_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups of documents that share most of their 4-word shingles."""
+    return ngram_join.linked_components(_read(spark, sf, "documents"), size=4, percent=85)
+
+
 @_query()
 def op10_bpe_automaton(spark: SparkSession, sf: str) -> DataFrame:
     """Digests of each document's ids and of the text decoded from them."""

@@ -24,6 +24,7 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
@@ -41,6 +42,8 @@ PRE_SPLIT = (
 CHUNK = rf"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+"
 #: Distinct chunks remembered by a worker; beyond it the memory starts anew.
 REMEMBERED = 300_000
+#: Documents whose ids are handed on together.
+BATCH_DOCS = 500
 _NEVER = 1 << 60
 
 
@@ -250,15 +253,24 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
       ``ids`` is replaced.
     """
     kept = [c for c in docs.columns if c != "ids"]
-    schema = StructType([*docs.select(*[f"`{c}`" for c in kept]).schema.fields]).add("ids", "array<int>")
+    rows = docs.select(*[f"`{c}`" for c in kept])
+    schema = StructType([*rows.schema.fields]).add("ids", "array<int>")
+    place = kept.index(text_col)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton(path)
-        coder = ChunkCoder(lambda chunks: map(machine.encode, chunks))
+        coder = ChunkCoder(lambda chunks: [np.array(machine.encode(c), "<i4").tobytes() for c in chunks])
         for batch in batches:
-            yield batch.assign(ids=[[i for c in coder(t or "") for i in c] for t in batch[text_col]])
+            texts = batch.column(place)
+            for first in range(0, len(texts), BATCH_DOCS):
+                part = batch.slice(first, BATCH_DOCS)
+                found = [b"".join(coder(t.as_py() or "")) for t in part.column(place)]
+                cuts = np.cumsum([0] + [len(f) // 4 for f in found], dtype=np.int32)
+                values = pa.array(np.frombuffer(b"".join(found), "<i4"))
+                ids = pa.ListArray.from_arrays(pa.array(cuts), values)
+                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*kept, "ids"])
 
-    return docs.select(*[f"`{c}`" for c in kept]).mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def decode_documents(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 #: Fixed white space of the pre-split pattern's \s (Unicode White_Space).
 WHITE = "\\t\\n\\x0b\\x0c\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -254,7 +254,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
     """
     kept = [c for c in docs.columns if c != "ids"]
     rows = docs.select(*[f"`{c}`" for c in kept])
-    schema = StructType([*rows.schema.fields]).add("ids", "array<int>")
+    schema = StructType([*rows.schema.fields]).add("ids", ArrayType(IntegerType()))
     place = kept.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,9 @@ few n-grams, so documents meet by those: all that share one form a block,
 named after the smallest id among them, and blocks of the same name merge. A block
 keeps its sets in a trie. A set walks down the trie, sharing the overlap counted
 so far between all sets below a node, and leaves a subtree as soon as the
-n-grams that remain on either side cannot reach the overlap it needs.
+n-grams that remain on either side cannot reach the overlap it needs. Blocks are
+worked twice: with the first n-grams alone, whose bound rules nearly all strangers
+out, and what is left with whole sets.
 
 - Equal sets are one class before any of this, so a group of copies is one set.
 - Links between sets that a block already connects are not looked for again: what
@@ -32,7 +34,7 @@ from tallyferry.session import materialise
 
 WORDS = 5
 PERCENT = 80
-BUCKETS = 1 << 16
+BUCKETS = 1 << 18
 CHUNK = 2000
 _TAG = np.uint64(0xA24BAED4963EE407)
 
@@ -93,31 +95,41 @@ def bucket_ranks(rows: DataFrame, size: int) -> np.ndarray:
     return np.where(above > 0, np.clip(np.floor(np.log2(np.maximum(counts, 1))), 1, 63), 0).astype(np.uint8)
 
 
+class _Node:
+    __slots__ = ("run", "depth", "least", "most", "below", "ends")
+
+    def __init__(self, run: np.ndarray, depth: int):
+        self.run, self.depth = run, depth
+        self.least, self.most = 1 << 60, 0
+        self.below: dict[int, _Node] = {}
+        self.ends: list[tuple[int, int]] = []
+
+
 class Trie:
-    """Sets as paths of local token numbers; runs without a fork are one node."""
+    """Sets, or their first n-grams, as paths of local numbers; runs without a fork are one node."""
 
     def __init__(self, size: int, percent: int):
         self._inside = np.zeros(size, bool)
         self._percent = percent
         self._root = _Node(np.empty(0, np.int64), 0)
 
-    def add(self, who: int, path: np.ndarray) -> None:
-        """Stores a set."""
-        node, at, n = self._root, 0, len(path)
+    def add(self, who: int, path: np.ndarray, n: int) -> None:
+        """Stores a set of ``n`` n-grams of which ``path`` are the first."""
+        node, at = self._root, 0
         while True:
             node.least, node.most = min(node.least, n), max(node.most, n)
-            if at == n:
-                node.ends.append(who)
+            if at == len(path):
+                node.ends.append((who, n))
                 return
             below = node.below.get(int(path[at]))
             if below is None:
-                leaf = _Node(path[at:], n)
+                leaf = _Node(path[at:], len(path))
                 leaf.least = leaf.most = n
-                leaf.ends.append(who)
+                leaf.ends.append((who, n))
                 node.below[int(path[at])] = leaf
                 return
             run = below.run
-            most = min(len(run), n - at)
+            most = min(len(run), len(path) - at)
             unlike = np.flatnonzero(run[:most] != path[at : at + most])
             same = int(unlike[0]) if len(unlike) else most
             if same < len(run):
@@ -129,44 +141,41 @@ class Trie:
                 below = fork
             node, at = below, at + same
 
-    def partners(self, path: np.ndarray, skip) -> Iterator[int]:
-        """Stored sets that reach the threshold with ``path``, but those that ``skip`` names."""
-        n, percent, inside = len(path), self._percent, self._inside
+    def partners(self, path: np.ndarray, n: int, skip) -> Iterator[int]:
+        """Stored sets whose overlap with a set of ``n`` can reach the threshold, but those that ``skip`` names.
+
+        ``path`` are the set's first n-grams. When both paths are whole sets the
+        bound is the overlap itself and the answer exact.
+        """
+        percent, inside, last = self._percent, self._inside, path[-1]
         inside[path] = True
-        stack = [(self._root, 0)]
+        # Overlap so far, and how many n-grams of the stored sets were compared.
+        stack = [(self._root, 0, 0)]
         while stack:
-            node, overlap = stack.pop()
+            node, overlap, seen = stack.pop()
             if 100 * node.most < percent * n or 100 * n < percent * node.least:
                 continue
-            if not node.below and all(map(skip, node.ends)):
+            if not node.below and all(skip(who) for who, _ in node.ends):
                 continue
+            left = n
             if len(node.run):
                 overlap += int(np.count_nonzero(inside[node.run]))
-                left = n - int(np.searchsorted(path, node.run[-1], side="right"))
-                reach = overlap + min(left, node.most - node.depth)
-                if (100 + percent) * reach < percent * (n + node.least):
+                if seen == node.depth - len(node.run):
+                    seen += int(np.searchsorted(node.run, last, side="right"))
+                left -= int(np.searchsorted(path, node.run[-1], side="right"))
+                if (100 + percent) * (overlap + min(left, node.most - seen)) < percent * (n + node.least):
                     continue
-            for who in node.ends:
-                if (100 + percent) * overlap >= percent * (n + node.depth) and not skip(who):
+            for who, size in node.ends:
+                if (100 + percent) * (overlap + min(left, size - seen)) >= percent * (n + size) and not skip(who):
                     yield who
-            stack.extend((below, overlap) for below in node.below.values())
+            stack.extend((below, overlap, seen) for below in node.below.values())
         inside[path] = False
 
 
-class _Node:
-    __slots__ = ("run", "depth", "least", "most", "below", "ends")
-
-    def __init__(self, run: np.ndarray, depth: int):
-        self.run, self.depth = run, depth
-        self.least, self.most = 1 << 60, 0
-        self.below: dict[int, _Node] = {}
-        self.ends: list[int] = []
-
-
-def block_links(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of a block's links."""
-    every, place = np.unique(np.concatenate(sets), return_inverse=True)
-    cuts = np.cumsum([0] + [len(s) for s in sets])
+def block_links(ids: list[int], paths: list[np.ndarray], sizes: list[int], percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links, or possible links, in a block."""
+    every, place = np.unique(np.concatenate(paths), return_inverse=True)
+    cuts = np.cumsum([0] + [len(s) for s in paths])
     trie = Trie(len(every), percent)
     parent = list(range(len(ids)))
 
@@ -177,15 +186,31 @@ def block_links(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tu
         return k
 
     out = []
-    for k in range(len(ids)):
+    for k, n in enumerate(sizes):
         path = place[cuts[k] : cuts[k + 1]]
-        for other in trie.partners(path, lambda o, k=k: top(o) == top(k)):
+        for other in trie.partners(path, n, lambda o, k=k: top(o) == top(k)):
             parent[top(k)] = top(other)
             out.append((ids[k], ids[other]))
-        trie.add(k, path)
+        trie.add(k, path, n)
     return out
 
 
+def clusters(ids: list[int], links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(smallest id, id) of every id in links, by the groups that they form."""
+    parent = {i: i for pair in links for i in pair}
+
+    def top(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    for a, b in links:
+        a, b = top(a), top(b)
+        parent[max(a, b)] = min(a, b)
+    return [(top(i), i) for i in parent]
+
+
 def _meetings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows (token, n, rep), sorted: (block, rep) for every token that several sets share.
 
@@ -254,15 +279,31 @@ def linked_components(
     reps = known.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
 
     # Documents that share an n-gram of their prefixes meet in blocks.
-    starts = (
-        known.join(reps, ["d1", "d2"])
-        .where("doc_id = rep")
-        .dropDuplicates(["d1", "d2"])
-        .select(F.explode_outer("prefix").alias("token"), "n", "rep")
+    firsts = materialise(
+        known.join(reps, ["d1", "d2"]).where("doc_id = rep").dropDuplicates(["d1", "d2"]).select("rep", "n", "prefix"), "firsts"
     )
+    starts = firsts.select(F.explode_outer("prefix").alias("token"), "n", "rep")
     met = starts.repartition("token").sortWithinPartitions("token", "n", "rep")
     meetings = materialise(met.mapInArrow(lambda b: _meetings(b, percent), "block long, rep long").distinct(), "meetings")
-    links = materialise(_block_jobs(rows, meetings, size, percent, rank), "found-links")
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def members(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, int]]:
+            values, cuts = batch.column(5).values.to_numpy().view(np.uint64), batch.column(5).offsets.to_numpy()
+            return ((values[a:b], n) for a, b, n in zip(cuts[:-1], cuts[1:], batch.column(4).to_pylist()))
+
+        return _worked(batches, members, percent, ("block", "rep"), clusters)
+
+    def certain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def members(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, int]]:
+            return ((own, len(own)) for part in slices(batch.column(4)) for own in token_sets(part, size, rank))
+
+        return _worked(batches, members, percent, ("a", "b"), lambda ids, links: links)
+
+    # First by the prefixes alone, which leaves few; then by whole sets, made from the texts again.
+    close = _dealt(meetings, firsts).mapInArrow(possible, "block long, rep long").distinct()
+    close = materialise(close, "close")
+    texts = rows.where("doc_id is not null").withColumnRenamed("doc_id", "rep")
+    links = materialise(_dealt(close, texts).mapInArrow(certain, "a long, b long"), "found-links")
     parts = components(links)
 
     classes = reps.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -273,57 +314,51 @@ def linked_components(
     return linked.union(alone)
 
 
-def _block_jobs(rows: DataFrame, meetings: DataFrame, size: int, percent: int, rank: np.ndarray) -> DataFrame:
-    """Links found inside blocks; a large block is split into pairs of chunks."""
+def _dealt(meetings: DataFrame, what: DataFrame) -> DataFrame:
+    """Members of each block side by side, with what belongs to them; large blocks as pairs of chunks."""
     chunks = F.ceil(F.col("members") / CHUNK).cast("int")
     sizes = meetings.groupBy("block").agg(F.count(F.lit(1)).alias("members"))
-    own = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
     jobs = (
         meetings.join(sizes.select("block", chunks.alias("chunks")), "block")
-        .withColumn("own", own)
+        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         # With several chunks, a chunk meets itself together with each other one.
         .where("chunks = 1 or own <> other")
         .select("rep", "block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     )
-    dealt = (
-        jobs.join(rows.withColumnRenamed("doc_id", "rep"), "rep")
-        .repartition("block", "i", "j")
-        .sortWithinPartitions("block", "i", "j", "rep")
-        .select("block", "i", "j", "rep", "text")
-    )
+    others = [c for c in what.columns if c != "rep"]
+    dealt = jobs.join(what, "rep").repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "rep")
+    return dealt.select("block", "i", "j", "rep", *others)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, ids, sets = None, [], []
-        found: list[tuple[int, int]] = []
 
-        def give() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays(
-                [pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"]
-            )
-            found.clear()
-            return out
+def _worked(batches: Iterator[pa.RecordBatch], members, percent: int, names: tuple[str, str], result) -> Iterator[pa.RecordBatch]:
+    """Runs ``block_links`` on each block of sorted rows, and gives two columns of ``result``."""
+    key, ids, paths, sizes = None, [], [], []
+    found: list[tuple[int, int]] = []
 
-        for batch in batches:
-            keys = list(zip(*[batch.column(i).to_pylist() for i in range(3)]))
-            members = batch.column(3).to_pylist()
-            at = 0
-            for part in slices(batch.column(4)):
-                for own in token_sets(part, size, rank):
-                    if keys[at] != key:
-                        if len(ids) > 1:
-                            found += block_links(ids, sets, percent)
-                        key, ids, sets = keys[at], [], []
-                    if len(own):
-                        ids.append(members[at])
-                        sets.append(own)
-                    at += 1
-            yield give()
+    def end() -> None:
         if len(ids) > 1:
-            found += block_links(ids, sets, percent)
-        yield give()
+            found.extend(result(ids, block_links(ids, paths, sizes, percent)))
+        ids.clear(), paths.clear(), sizes.clear()
+
+    def give() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=list(names))
+        found.clear()
+        return out
 
-    return dealt.mapInArrow(run, "a long, b long")
+    for batch in batches:
+        keys = zip(*[batch.column(i).to_pylist() for i in range(3)])
+        for now, rep, (path, n) in zip(keys, batch.column(3).to_pylist(), members(batch)):
+            if now != key:
+                end()
+                key = now
+            if n:
+                ids.append(rep)
+                paths.append(path)
+                sizes.append(n)
+        yield give()
+    end()
+    yield give()
 
 
 def one_per_group(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:

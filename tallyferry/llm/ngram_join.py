@@ -327,7 +327,8 @@ def _dealt(meetings: DataFrame, what: DataFrame) -> DataFrame:
         .select("rep", "block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     )
     others = [c for c in what.columns if c != "rep"]
-    dealt = jobs.join(what, "rep").repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "rep")
+    # One plan at every size: sorted merges, which adaptive execution splits where a block is hot.
+    dealt = jobs.join(what.hint("merge"), "rep").repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "rep")
     return dealt.select("block", "i", "j", "rep", *others)
 
 

@@ -14,8 +14,10 @@ attempts that counted, so a task that is lost or runs twice does no harm.
 from __future__ import annotations
 
 import os
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +35,36 @@ NO_ID = -(2**63)
 MANIFEST = "part int, name string, first_id long, n_docs long, n_ids long, width int"
 
 
+_coders: dict[tuple[str, int], tuple[ChunkCoder, int]] = {}
+
+
+def library_coder(tokenizer: str, end_id: int) -> tuple[ChunkCoder, int]:
+    """A coder that gives chunks as bytes of ids, and their width; one per worker process.
+
+    It outlives a task, so a worker's later tasks find the chunks it has met.
+    """
+    if (tokenizer, end_id) not in _coders:
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        library = Tokenizer.from_file(tokenizer)
+        library.no_truncation()
+        library.no_padding()
+        width = 2 if max(library.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+
+        def make(chunks: list[str]) -> list[bytes]:
+            made = []
+            for encoding in library.encode_batch_fast(chunks, add_special_tokens=False):
+                ids = array("H" if width == 2 else "I", encoding.ids)
+                if sys.byteorder == "big":
+                    ids.byteswap()
+                made.append(ids.tobytes())
+            return made
+
+        _coders[tokenizer, end_id] = ChunkCoder(make), width
+    return _coders[tokenizer, end_id]
+
+
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer: str, end_id: int = END, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -50,21 +82,9 @@ def write_token_files(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        library = Tokenizer.from_file(tokenizer)
-        library.no_truncation()
-        library.no_padding()
-        width = 2 if max(library.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        kind = f"<u{width}"
-        end = np.array([end_id], kind).tobytes()
-
-        def make(chunks: list[str]) -> list[bytes]:
-            found = library.encode_batch_fast(chunks, add_special_tokens=False)
-            return [np.array(e.ids, kind).tobytes() for e in found]
 
-        coder = ChunkCoder(make)
+        coder, width = library_coder(tokenizer, end_id)
+        end = np.array([end_id], f"<u{width}").tobytes()
         part = TaskContext.get().partitionId()
         name = f"{part:06d}-{uuid.uuid4().hex}"
         store, root = stores.FileSystem.from_uri(folder)

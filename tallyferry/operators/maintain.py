@@ -109,9 +109,21 @@ def append_target(spark: SparkSession, table: str, rows: DataFrame) -> None:
     rows.select(*names).write.mode("append").saveAsTable(table)
 
 
-def append_path(rows: DataFrame, path: str, schema: T.StructType) -> None:
-    """Append to a folder target, columns matched by name."""
-    rows.select(*schema.names).write.mode("append").parquet(path)
+def append_path(
+    rows: DataFrame, path: str, schema: T.StructType, date_col: str | None = None
+) -> None:
+    """Append to a folder target, columns matched by name.
+
+    A target by days gets its rows by days too: files beside the day folders
+    would never be read. ``date_col`` is needed then.
+    """
+    rows = rows.select(*schema.names)
+    if is_by_day(rows.sparkSession, path):
+        if date_col is None:
+            raise ValueError(f"{path} is partitioned by day: give its date column to append")
+        write_days(rows, path, date_col, "append")
+    else:
+        rows.write.mode("append").parquet(path)
 
 
 def truncate_path(spark: SparkSession, path: str, schema: T.StructType) -> None:

@@ -48,8 +48,11 @@ def table_size(df: DataFrame, table_name: str) -> DataFrame:
 
 
 def stored_mb(df: DataFrame) -> float:
-    """Size from file metadata or catalog statistics, without reading any row."""
-    return estimated_bytes(df) / (1024.0 * 1024.0)
+    """Size from file metadata or catalog statistics; one pass over the rows when there is none."""
+    known = estimated_bytes(df)
+    if known is None:
+        known = table_size(df, "").first()["bytes"]
+    return known / (1024.0 * 1024.0)
 
 
 def analyzed_bytes(spark: SparkSession, table: str) -> int | None:

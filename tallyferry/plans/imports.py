@@ -58,7 +58,7 @@ def import_table(
     if window and spec.date_col and settings.idempotent:
         replace_window(spark, target, staged, spec.date_col, window)
     else:
-        append_path(staged, target, schema)
+        append_path(staged, target, schema, spec.date_col)
     return read_target(spark, target, schema)
 
 

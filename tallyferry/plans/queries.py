@@ -590,6 +590,14 @@ def append_target(spark, sf):
     return M.read_target(spark, path, orders.schema)
 
 
+@query("select * from events where ts < timestamp '2024-01-12' union all select * from events where ts >= timestamp '2024-01-08'")
+def append_by_day(spark, sf):
+    events, path = _read(spark, sf, "events"), scratch_path(spark, "target")
+    M.replace_window(spark, path, events, "ts", Window(end="2024-1-12 00:00:00"))
+    M.append_path(events.where("ts >= timestamp_ntz'2024-01-08'"), path, events.schema, "ts")
+    return M.read_target(spark, path, events.schema)
+
+
 @query("select doc_id, replace(text, 'e', '') as text, lang, source, n_chars from documents")
 def scrub_nul(spark, sf):
     planted = _read(spark, sf, "documents").withColumn("text", F.translate("text", "e", "\u0000"))

@@ -98,16 +98,22 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def partitions_for(df: DataFrame, target_mb: int = 256) -> int | None:
     """How many shuffle partitions ``df`` needs, or None when the session's number will do.
 
-    Uses Catalyst's size estimate. None lets adaptive execution coalesce.
+    Uses the sizes of the tables it reads. None, also when they are unknown, lets
+    adaptive execution coalesce.
     """
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    estimated = estimated_bytes(df) // (target_mb * 1024 * 1024)
-    if estimated <= configured:
-        return None
-    return min(estimated, 50_000)
+    wanted = (estimated_bytes(df) or 0) // (target_mb * 1024 * 1024)
+    return wanted if wanted > configured else None
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate: file sizes or catalog statistics, no scan."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Sum of the sizes of the tables that ``df`` reads: file sizes or catalog statistics, no scan.
+
+    None when no table's size is known, as for rows in memory or behind a
+    database connection, where the optimizer's default stands for "unknown".
+    """
+    unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = [s for s in sizes if s < unknown]
+    return sum(known) if known else None

@@ -50,15 +50,21 @@ class TableSpec:
 
 @dataclass(frozen=True)
 class Window:
-    """Half-open date window ``[start, end)``; either end may be open."""
+    """Half-open date window ``[start, end)``; either end may be open.
+
+    Ends are kept as canonical text, so unpadded input compares like a date.
+    """
 
     start: str | None = None
     end: str | None = None
 
     def __post_init__(self) -> None:
-        for text in (self.start, self.end):
+        for name in ("start", "end"):
+            text = getattr(self, name)
             if text is not None:
-                datetime.strptime(text, STAMP)
+                object.__setattr__(self, name, str(datetime.strptime(text, STAMP)))
+        if self.start is not None and self.end is not None and self.start >= self.end:
+            raise ValueError(f"the window is empty: {self.start} is not before {self.end}")
 
     def __bool__(self) -> bool:
         return self.start is not None or self.end is not None

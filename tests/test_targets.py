@@ -17,6 +17,7 @@ from tallyferry.plans.audit import reconcile_tables, schema_specs
 from tallyferry.plans.export import export_table, export_tables
 from tallyferry.plans.imports import housekeep, import_table, import_tables
 from tallyferry.session import materialise, release_scratch, scratch_root
+from tallyferry.session import estimated_bytes, partitions_for
 from tallyferry.sources.delimited import line_counts
 from tallyferry.specs import (
     MissingInput, ModeConflict, Settings, TableSpec, TooManyBadRows, Window,
@@ -56,6 +57,36 @@ def test_replace_window_equals_delete_and_insert(spark, table, tmp_path, start,
         assert values(M.read_target(spark, path, events.schema)) == values(expected)
 
 
+def test_unpadded_windows_spare_the_days_after(spark, table, tmp_path):
+    events, path = table("events"), str(tmp_path / "t")
+    M.write_days(events, path, "ts")
+    M.replace_window(spark, path, events, "ts", Window("2024-1-5 00:00:00", "2024-1-20 0:00:00"))
+    assert values(M.read_target(spark, path, events.schema)) == values(events)
+    with pytest.raises(ValueError, match="empty"):
+        Window("2024-01-05 00:00:00", "2024-1-5 00:00:00")
+
+
+def test_appending_to_a_target_by_days(spark, table, tmp_path):
+    events, path = table("events"), str(tmp_path / "t")
+    early = events.where("event_id < 300")
+    M.write_days(early, path, "ts")
+    with pytest.raises(ValueError, match="by day"):
+        M.append_path(events.where("event_id >= 300"), path, events.schema)
+    M.append_path(events.where("event_id >= 300"), path, events.schema, "ts")
+    assert values(M.read_target(spark, path, events.schema)) == values(events)
+
+
+def test_sizes_come_from_the_tables_that_are_read(spark, table):
+    memory = spark.createDataFrame([(1, 2.0)], "k long, x double")
+    assert estimated_bytes(memory) is None or estimated_bytes(memory) < 10_000
+    assert estimated_bytes(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "k long")) is None
+    assert stored_mb(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "k long")) < 0.01
+    parts = [table(n) for n in ("orders", "customer", "lineitem")]
+    joined = parts[0].crossJoin(parts[1]).crossJoin(parts[2])
+    assert estimated_bytes(joined) <= sum(estimated_bytes(p) for p in parts)
+    assert partitions_for(joined) is None
+
+
 def test_replacing_with_nothing_empties_the_window(spark, table, tmp_path):
     events, path = table("events"), str(tmp_path / "t")
     M.write_days(events, path, "ts")

@@ -41,7 +41,9 @@ PRE_SPLIT = (
 #: White space and the word after it: no token crosses the border between two of them.
 CHUNK = rf"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+"
 #: Distinct chunks in one generation of a worker's memory, about 200 bytes each.
-REMEMBERED = 700_000
+REMEMBERED = 300_000
+#: The same for ``encode_documents``.
+TASK_REMEMBERED = 100_000
 #: Documents whose ids are handed on together.
 BATCH_DOCS = 500
 _NEVER = 1 << 60
@@ -244,30 +246,27 @@ class ChunkCoder:
         return out
 
 
-_coders: dict[tuple[str, str], ChunkCoder] = {}
+_coders: dict[str, ChunkCoder] = {}
 
 
-def _coder(path: str, kind: str) -> ChunkCoder:
-    """A coder of a kind; one per worker process, so its later tasks find the chunks it has met.
+def _text_coder(path: str) -> ChunkCoder:
+    """Gives the ids of chunks in digits and their decoded text.
 
-    ``ids`` gives 32-bit ids as bytes, ``text`` the ids in digits and their decoded text.
+    One per worker process, so its later tasks find the chunks it has met.
     """
-    if (path, kind) not in _coders:
+    if path not in _coders:
         machine = automaton(path)
         digits = {i: str(i) for i in machine.label}
 
-        def as_bytes(chunks: list[str]) -> list[bytes]:
-            return [np.array(machine.encode(c), "<i4").tobytes() for c in chunks]
-
-        def as_text(chunks: list[str]) -> Iterator[tuple[str, str]]:
+        def make(chunks: list[str]) -> Iterator[tuple[str, str]]:
             for chunk in chunks:
                 ids = machine.encode(chunk)
                 back = machine.decode(ids)
                 # Chunks hold whole characters, so their texts join; the same text is kept once.
                 yield ",".join([digits[i] for i in ids]), chunk if back == chunk else back
 
-        _coders[path, kind] = ChunkCoder(as_bytes if kind == "ids" else as_text)
-    return _coders[path, kind]
+        _coders[path] = ChunkCoder(make)
+    return _coders[path]
 
 
 def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
@@ -284,7 +283,9 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
     place = kept.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(path, "ids")
+        machine = automaton(path)
+        # Of this task alone: a job with other work leaves no room for lasting memories.
+        coder = ChunkCoder(lambda chunks: [np.array(machine.encode(c), "<i4").tobytes() for c in chunks], TASK_REMEMBERED)
         for batch in batches:
             texts = batch.column(place)
             for first in range(0, len(texts), BATCH_DOCS):
@@ -322,7 +323,7 @@ def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_
     schema = StructType([rows.schema["doc_id"]]).add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(path, "text")
+        coder = _text_coder(path)
         for batch in batches:
             counts, ids_hash, text_hash = [], [], []
             texts = batch.column(1)

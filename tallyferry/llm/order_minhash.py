@@ -48,9 +48,8 @@ def sketch(text: str) -> np.ndarray:
     """``SKETCHES`` unsigned 16-bit numbers; all 0 for an empty text."""
     kmers = _kmers(np.frombuffer(text.encode(), np.uint8))
     n = len(kmers)
-    out = np.zeros(SKETCHES, np.uint16)
     if not n:
-        return out
+        return np.zeros(SKETCHES, np.uint16)
     bits = np.uint64(n.bit_length())
     low = (np.uint64(1) << bits) - np.uint64(1)
     packed = np.sort((kmers & ~low) | np.arange(n, dtype=np.uint64))
@@ -61,19 +60,18 @@ def sketch(text: str) -> np.ndarray:
     numbered[place] = (rank - first).astype(np.uint64)
     # Multiplying by an odd number permutes 32-bit integers: one cheap hash function each.
     numbered = (mix(kmers + numbered * _COUNT) >> np.uint64(32)).astype(np.uint32)
+    chosen = np.empty((SKETCHES, min(TUPLE, n)), np.int64)
     for j, odd in enumerate(_ODD):
         order = numbered * odd
-        chosen = []
-        for _ in range(min(TUPLE, n)):
-            at = int(order.argmin())
+        for c in range(chosen.shape[1]):
+            at = order.argmin()
             order[at] = _LAST
-            chosen.append(at)
-        chosen.sort()
-        value = kmers[chosen[0]]
-        for at in chosen[1:]:
-            value = mix(np.array([value]) * _STEP + kmers[at])[0]
-        out[j] = int(value) >> 48
-    return out
+            chosen[j, c] = at
+    chosen.sort(axis=1)
+    value = kmers[chosen[:, 0]]
+    for c in range(1, chosen.shape[1]):
+        value = mix(value * _STEP + kmers[chosen[:, c]])
+    return (value >> np.uint64(48)).astype(np.uint16)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:

@@ -31,6 +31,8 @@ from tallyferry.llm.bpe_automaton import ChunkCoder
 from tallyferry.session import materialise
 
 END = 0
+#: Distinct chunks in one generation of a worker's memory, about 200 bytes each.
+REMEMBERED = 700_000
 NO_ID = -(2**63)
 MANIFEST = "part int, name string, first_id long, n_docs long, n_ids long, width int"
 
@@ -61,7 +63,7 @@ def library_coder(tokenizer: str, end_id: int) -> tuple[ChunkCoder, int]:
                 made.append(ids.tobytes())
             return made
 
-        _coders[tokenizer, end_id] = ChunkCoder(make), width
+        _coders[tokenizer, end_id] = ChunkCoder(make, REMEMBERED), width
     return _coders[tokenizer, end_id]
 
 

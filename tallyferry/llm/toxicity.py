@@ -75,20 +75,24 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = F
     sample = training_sample(docs, labels, label, limit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: list[tuple[np.ndarray, int]] = []
+        # Few large arrays, so that all of it goes back to the system when the task ends.
+        flat, ends, known = [np.empty(0, np.int32)], [0], []
         for batch in batches:
             for part in slices(batch.column(0)):
                 doc, at = features(part)
                 order = np.argsort(doc, kind="stable")
                 cuts = np.searchsorted(doc[order], np.arange(len(part.starts) + 1))
                 at = at[order]
-                for k in range(len(part.starts)):
-                    own = np.append(np.unique(at[cuts[k] : cuts[k + 1]]), 1 << BITS)
-                    seen.append((own.astype(np.int32), batch.column(1)[part.first + k].as_py()))
+                distinct = [np.append(np.unique(at[a:b]), 1 << BITS) for a, b in zip(cuts[:-1], cuts[1:])]
+                flat.append(np.concatenate(distinct).astype(np.int32))
+                ends += (ends[-1] + np.cumsum([len(d) for d in distinct])).tolist()
+                known += batch.column(1)[part.first : part.first + len(distinct)].to_pylist()
+        every = np.concatenate(flat)
+        flat.clear()
         learner = Ftrl()
         for _ in range(EPOCHS):
-            for at, y in seen:
-                learner.learn(at, y)
+            for a, b, y in zip(ends[:-1], ends[1:], known):
+                learner.learn(every[a:b], y)
         w = learner.weights(np.arange((1 << BITS) + 1))
         there = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(w[there])], names=["at", "weight"])

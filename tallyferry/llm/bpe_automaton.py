@@ -38,8 +38,10 @@ WHITE = "\\t\\n\\x0b\\x0c\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\
 PRE_SPLIT = (
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 )
-#: White space and the word after it: no token crosses the border between two of them.
-CHUNK = rf"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+"
+#: White space with the letters and digits after it, or else all up to the next white space. A pre-split
+#: word never crosses from letters or digits into other signs, so "word", "word." and "word," share a chunk.
+#: Special tokens are whole in a chunk, as they begin with a sign.
+CHUNK = rf"[{WHITE}]*[^\W_]+|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+"
 #: Distinct chunks in one generation of a worker's memory, about 200 bytes each.
 REMEMBERED = 300_000
 #: The same for ``encode_documents``.
@@ -74,13 +76,14 @@ class Automaton:
             self._arc[a + b] = ids[a + b]
         #: state -> arc -> whether the arc is left; the state before the first token is None.
         self._table: dict[int | None, dict[int, bool]] = {}
-        #: Beginnings of labels; the length of each; the longest shorter label at its beginning.
-        self._longer = {w[:n] for w in self._arc for n in range(1, len(w))}
+        #: Every beginning of a label: the longest label at its own beginning.
+        self._begins: dict[bytes, int] = {}
+        for word in self._arc:
+            longest = None
+            for n in range(1, len(word) + 1):
+                longest = self._begins[word[:n]] = self._arc.get(word[:n], longest)
         self._length = {i: len(w) for w, i in self._arc.items()}
-        self._shorter = {
-            i: next((self._arc[w[:n]] for n in range(len(w) - 1, 0, -1) if w[:n] in self._arc), None)
-            for w, i in self._arc.items()
-        }
+        self._shorter = {i: self._begins.get(w[:-1]) for w, i in self._arc.items()}
         self._split = regex.compile(PRE_SPLIT)
         self._marks = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
 
@@ -130,15 +133,12 @@ class Automaton:
 
     def _longest(self, word: bytes, at: int) -> int:
         """The arc with the longest label at a position."""
-        arcs, longer = self._arc, self._longer
-        found = None
+        begins, found = self._begins, None
         for end in range(at + 1, len(word) + 1):
-            piece = word[at:end]
-            token = arcs.get(piece)
-            if token is not None:
-                found = token
-            if piece not in longer:
+            longest = begins.get(word[at:end])
+            if longest is None:
                 break
+            found = longest
         return found
 
     def encode_word(self, word: bytes) -> list[int]:
@@ -213,9 +213,9 @@ def automaton(path: str) -> Automaton:
 class ChunkCoder:
     """Encodes texts chunk by chunk and remembers what a chunk gave.
 
-    Chunks are independent: a token never crosses from a word into the white
-    space after it. ``make`` turns a list of new chunks into what is remembered of
-    each. Memory is bounded: two generations of ``REMEMBERED`` chunks at most.
+    Chunks are independent: a token never crosses from one into the next. ``make``
+    turns a list of new chunks into what is remembered of each. Memory is bounded:
+    two generations of ``REMEMBERED`` chunks at most.
     """
 
     def __init__(self, make, remembered: int = REMEMBERED):

@@ -234,7 +234,7 @@ def test_ngram_join_on_odd_rows(spark, odd, none):
 def test_bpe_automaton_equals_the_library(spark, docs, odd, none, library):
     machine = bpe_automaton.automaton(tokenizer_path())
     random.seed(2)
-    pools = ["ab", "aaaa  \n\t", "abc 'strellvedm", "the quick of and ", " \x85\xa0　\x1c!", "éüñß日本語", "<|endoftext|>", "0123456789.,"]
+    pools = ["ab", "aaaa  \n\t", "abc 'strellvedm", "the quick of and ", " \x85\xa0　\x1c!", "éüñß日本語", "<|endoftext|>", "0123456789.,", "_²½ⓐ́x's-"]
     texts = ["".join(random.choice(random.choice(pools)) for _ in range(random.randint(0, 40))) for _ in range(1500)]
     texts += [f"a <|endoftext|> {t}<|endoftext|>" for t in texts[:200]] + [t for _, t in docs[:40]]
     coder = bpe_automaton.ChunkCoder(lambda chunks: map(machine.encode, chunks), 50)
@@ -253,6 +253,14 @@ def test_bpe_automaton_equals_the_library(spark, docs, odd, none, library):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), digest(",".join(map(str, ids))), digest(text))
 
 
+def test_chunks_keep_the_pre_split(docs):
+    split, cut = bpe_automaton.automaton(tokenizer_path())._split.findall, re.compile(bpe_automaton.CHUNK).findall
+    random.seed(3)
+    odd = ["".join(random.choice("ab'stre ll\n\t é漢_-.,09²½́　ⓐ🙂") for _ in range(random.randint(0, 14))) for _ in range(20_000)]
+    for text in [*odd, *(t for _, t in docs)]:
+        assert [w for chunk in cut(text) for w in split(chunk)] == split(text)
+
+
 def test_pipeline_stages(spark, table, library):
     import corpus_pipeline
 

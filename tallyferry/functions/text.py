@@ -27,6 +27,27 @@ def scrub_nul(df: DataFrame) -> DataFrame:
     )
 
 
+def escape_breaks(df: DataFrame) -> DataFrame:
+    """Line breaks and backslashes of every text column as backslash escapes."""
+
+    def escaped(cell: Column) -> Column:
+        out = F.replace(cell, F.lit("\\"), F.lit("\\\\"))
+        out = F.replace(F.replace(out, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+        return F.when(F.rlike(cell, F.lit(r"[\\\n\r]")), out).otherwise(cell)
+
+    return _on_text(df, escaped)
+
+
+def unescape_breaks(cell: Column) -> Column:
+    """What ``escape_breaks`` made of a cell, back again; a backslash before anything else stays."""
+    # Between escaped backslashes, a backslash can only belong to a line break.
+    parts = F.transform(
+        F.split(cell, r"\\\\"),
+        lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")),
+    )
+    return F.when(F.contains(cell, F.lit("\\")), F.array_join(parts, "\\")).otherwise(cell)
+
+
 def quote_json_cells(df: DataFrame) -> DataFrame:
     """Wrap cells that hold a JSON object in single quotes, as the loader needs."""
     return _on_text(df, lambda c: F.regexp_replace(c, r"(?s)\A(\{.*\})\z", "'$1'"))

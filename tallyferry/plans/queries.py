@@ -537,6 +537,26 @@ def _spoiled_orders(spark, sf) -> T.Loaded:
     return T.load_delimited(spark, path, orders.schema, PLAIN)
 
 
+@query("\nunion all\n".join(
+    f"select '{t}' as table_name, cast({i} as bigint) as id, {c} as content from {t}"
+    for t, i, c in (("documents", "doc_id", "nullif(text, '')"), ("pages", "page_id", "nullif(html, '')"),
+                    ("conversations", "conv_id * 10000 + turn", "nullif(text, '')"))
+))
+def export_text_roundtrip(spark, sf):
+    """Texts with line breaks, tabs and quotes through files, one line a row."""
+
+    def moved(name: str, number: str, content: str) -> DataFrame:
+        rows, path = _read(spark, sf, name), scratch_path(spark, "texts")
+        T.write_delimited(rows, path, Settings())
+        good = T.load_delimited(spark, path, rows.schema, Settings()).good()
+        return good.selectExpr(f"'{name}' as table_name", f"cast({number} as bigint) as id", f"{content} as content")
+
+    return _union([
+        moved("documents", "doc_id", "text"), moved("pages", "page_id", "html"),
+        moved("conversations", "conv_id * 10000 + turn", "text"),
+    ])
+
+
 @query("select * from orders where o_orderkey % 97 <> 0 and o_orderkey % 89 <> 0")
 def load_bad_rows(spark, sf):
     return _spoiled_orders(spark, sf).good()

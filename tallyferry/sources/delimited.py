@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyferry.functions.text import quoted, scrub_nul
+from tallyferry.functions.text import escape_breaks, quoted, scrub_nul, unescape_breaks
 from tallyferry.session import path_exists
 from tallyferry.specs import MissingInput, Settings
 
@@ -48,6 +48,8 @@ def write_delimited(
         body = df.select([F.col(quoted(c)).cast("string").alias(c) for c in text] + [F.col(CHUNK)])
     else:
         body = as_text(df)
+    if settings.escape_breaks:
+        body = escape_breaks(body)
     writer = body.write.mode("overwrite").options(**_options(settings))
     if max_rows:
         writer = writer.option("maxRecordsPerFile", max_rows)
@@ -127,14 +129,18 @@ class Loaded:
 
 
 def conform(
-    text: DataFrame, schema: T.StructType, separator: str = "\t", load_time_col: str | None = None
+    text: DataFrame,
+    schema: T.StructType,
+    separator: str = "\t",
+    load_time_col: str | None = None,
+    escaped: bool = False,
 ) -> Loaded:
     """Type text rows to the target schema, by name and without case.
 
     A cell that is not NULL but cannot be read as its type makes a bad row, as
-    does a malformed line. NUL characters are removed first. Target columns that
-    the files lack become NULL, or make every row bad if they may not be NULL;
-    ``load_time_col`` then gets the time of the load, as a column default would.
+    does a malformed line. NUL characters are removed first; line breaks come back
+    if they are ``escaped``. Target columns that the files lack become NULL, or make
+    every row bad if they may not be NULL; ``load_time_col`` then gets the time of the load, as a column default would.
     """
     cells = [c for c in text.columns if c != RAW]
     clean = scrub_nul(text)
@@ -148,7 +154,9 @@ def conform(
         else:
             cell = F.col(quoted(name))
             value = convert(cell, field.dataType)
-            if not isinstance(field.dataType, T.StringType):
+            if isinstance(field.dataType, T.StringType):
+                value = unescape_breaks(cell) if escaped else cell
+            else:
                 misfits.append(
                     F.when(cell.isNotNull() & value.isNull(), F.lit(field.name))
                 )
@@ -178,7 +186,7 @@ def load_delimited(
 ) -> Loaded:
     """Read and conform in one plan; the caller decides what the bad rows mean."""
     text = read_delimited(spark, path, settings, multi_line=multi_line)
-    return conform(text, schema, settings.separator, load_time_col)
+    return conform(text, schema, settings.separator, load_time_col, settings.escape_breaks)
 
 
 def write_counting_bad(loaded: Loaded, path: str) -> int:

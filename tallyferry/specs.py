@@ -80,7 +80,12 @@ class Window:
 
 @dataclass(frozen=True)
 class Settings:
-    """How to move. Defaults are the fixed values of the tool being replaced."""
+    """How to move. Defaults are the fixed values of the tool being replaced.
+
+    ``escape_breaks`` keeps a row on one line: line breaks and backslashes in text
+    are written as ``\\n``, ``\\r`` and ``\\\\`` and read back. Turn it off for files of
+    other writers that mean backslashes as they stand.
+    """
 
     chunk_mb: float = 5000
     whole_table_mb: int = 10000
@@ -92,6 +97,7 @@ class Settings:
     null_marker: str = ""
     max_bad_rows: int = 1000
     files_per_batch: int = 100
+    escape_breaks: bool = True
     idempotent: bool = True
 
 

@@ -42,7 +42,8 @@ def load_in_batches(
     )
 
     def write_batch(batch: DataFrame, number: int) -> None:
-        store_batch(conform(batch, schema, settings.separator), f"{target}/{BATCH}={number}", settings)
+        loaded = conform(batch, schema, settings.separator, escaped=settings.escape_breaks)
+        store_batch(loaded, f"{target}/{BATCH}={number}", settings)
 
     query = (
         stream.writeStream.foreachBatch(write_batch)

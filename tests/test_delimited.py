@@ -73,6 +73,27 @@ def test_line_breaks_in_text_need_multi_line(spark, tmp_path):
     assert values(D.load_delimited(spark, path, df.schema, PLAIN, multi_line=True).good()) == [(1, "two\nlines")]
 
 
+@pytest.mark.parametrize("compression", [None, "gzip"])
+def test_text_with_line_breaks_stays_on_one_line(spark, tmp_path, compression):
+    settings = Settings(compression=compression)
+    notes = ["two\nlines", "a\r\nb", "\\n", "\\\n\\\\n", "\n", "end\\", '"\nquoted\t"', "\\\\", "C:\\new\\\r", "plain", None]
+    df, path = spark.createDataFrame(list(enumerate(notes)), "id long, note string"), str(tmp_path / "out")
+    D.write_delimited(df, path, settings)
+    loaded = D.load_delimited(spark, path, df.schema, settings)
+    assert loaded.bad().isEmpty() and values(loaded.good()) == values(df)
+    files = D.total_lines(D.line_counts(spark, path)).first()
+    assert files["lines"] - files["files"] == len(notes)
+
+
+def test_backslashes_of_other_writers(spark, tmp_path):
+    write_lines(str(tmp_path / "in" / "0.csv"), "id\tnote", "1\tC:\\new", "2\tC:\\temp")
+    schema, path = "id long, note string", str(tmp_path / "in")
+    schema = spark.createDataFrame([], schema).schema
+    as_written = Settings(compression=None, escape_breaks=False)
+    assert values(D.load_delimited(spark, path, schema, as_written).good()) == [(1, "C:\\new"), (2, "C:\\temp")]
+    assert values(D.load_delimited(spark, path, schema, PLAIN).good()) == [(1, "C:\new"), (2, "C:\\temp")]
+
+
 def test_files_have_header_tabs_and_gzip_names(spark, tmp_path):
     path = str(tmp_path / "out")
     D.write_delimited(shout_columns(spark.range(3).select("id", (F.col("id") * 2).alias("x"))), path, Settings())

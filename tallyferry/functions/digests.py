@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyferry.functions.text import quoted
 
@@ -21,6 +22,13 @@ def row_text(columns: Sequence[str]) -> Column:
     return F.expr(f"concat({', '.join(cells)})")
 
 
+def comparable(name: str, dtype: T.DataType) -> str:
+    """A column as SQL text that can be hashed and compared: maps as entries in key order."""
+    if isinstance(dtype, T.MapType) and "map<" not in dtype.valueType.simpleString():
+        return f"array_sort(map_entries({quoted(name)}))"
+    return f"cast({quoted(name)} as string)" if "map<" in dtype.simpleString() else quoted(name)
+
+
 def row_digest(df: DataFrame, algorithm: str = "xxhash64") -> Column:
     """A 60-bit digest of a whole row as a long.
 
@@ -33,7 +41,7 @@ def row_digest(df: DataFrame, algorithm: str = "xxhash64") -> Column:
         return F.conv(head, 16, 10).cast("bigint")
     if algorithm == "xxhash64":
         # xxhash64 skips NULLs, so where they stand is hashed as well.
-        values = [quoted(c) for c in df.columns]
-        nulls = [f"isnull({v})" for v in values]
+        values = [comparable(f.name, f.dataType) for f in df.schema.fields]
+        nulls = [f"isnull({quoted(c)})" for c in df.columns]
         return F.expr(f"shiftrightunsigned(xxhash64({', '.join(values + nulls)}), 4)")
     raise ValueError(f"unknown digest {algorithm!r}: use 'md5' or 'xxhash64'")

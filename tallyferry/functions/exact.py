@@ -19,8 +19,20 @@ def exact_sum_sql(value: str, dtype: T.DataType) -> str:
     """The same as SQL text, which builds wide aggregates with few calls to the JVM.
 
     A long is summed as three 22-bit limbs in plain long arithmetic, exact up to
-    2**41 rows and quicker than casting every row to decimal; an int as two.
+    2**41 rows and quicker than casting every row to decimal; an int as two. The sum
+    of decimals of more than 28 digits may not fit a decimal: their fraction (to 18
+    places) and two limbs of the integer part are summed exactly and given as a double.
     """
+    if isinstance(dtype, T.DecimalType) and dtype.precision > 28:
+        whole = f"cast(if({value} < 0, ceil({value}), floor({value})) as decimal(38,0))"
+        limb = "cast(100000000000000 as decimal(15,0))"
+        low = f"({whole} % {limb})"
+        high = f"cast(({whole} - {low}) / {limb} as decimal(24,0))"
+        fraction = f"cast({value} - {whole} as decimal(19,18))"
+        parts = [f"cast(sum({high}) as double) * 1e14", f"cast(sum(cast({low} as decimal(15,0))) as double)"]
+        if dtype.scale:
+            parts.append(f"cast(sum({fraction}) as double)")
+        return f"coalesce({' + '.join(parts)}, 0)"
     if isinstance(dtype, T.DecimalType):
         return f"coalesce(sum({value}), cast(0 as {dtype.simpleString()}))"
     if isinstance(dtype, (T.ByteType, T.ShortType)):

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyferry.functions.digests import comparable
 from tallyferry.functions.predicates import conjoin
 from tallyferry.functions.text import quoted
 from tallyferry.operators.ordering import number_rows
@@ -83,7 +84,7 @@ def field_diff(
 
 def _packed(df: DataFrame, keys: Sequence[str], columns: Sequence[str], side: str) -> DataFrame:
     # A struct with a constant is never NULL, so its absence marks a missing row.
-    cells = [F.col(quoted(c)).alias(c) for c in columns]
+    cells = [F.expr(comparable(c, df.schema[c].dataType)).alias(c) for c in columns]
     return df.select(*keys, F.struct(F.lit(True).alias("__here"), *cells).alias(side))
 
 

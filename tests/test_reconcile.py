@@ -139,6 +139,29 @@ def test_field_diff_refuses_repeated_keys(table):
         D.field_diff(lines, lines, ["l_orderkey"])
 
 
+def test_map_columns_compare_by_their_entries(spark):
+    here = spark.sql("""select 1 as id, map('a', 1, 'b', 2) as m, map('q', map('z', 1)) as n
+        union all select 2, null, null""")
+    there = spark.sql("""select 1 as id, map('b', 2, 'a', 1) as m, map('q', map('z', 1)) as n
+        union all select 2, map('a', 3), null""")
+    status = {r["checksum_class"]: r["status"] for r in R.reconcile(here, here.where("id > 0"), "t").collect()}
+    assert status["unchecked"] == "WARNING" and status["fingerprint"] == "SUCCESS"
+    status = {r["checksum_class"]: r["status"] for r in R.reconcile(here, there, "t").collect()}
+    assert status["fingerprint"] == "FAILURE"
+    assert values(D.field_diff(here, there, ["id"]).select("id", "column_name", "kind")) == [(2, "m", "changed")]
+
+
+@pytest.mark.parametrize("dtype, cells, mean", [
+    ("decimal(38,0)", ["9" * 38, "9" * 38, "-1", None], 5e37),
+    ("decimal(38,38)", ["0." + "9" * 38] * 3, 1.0),
+    ("decimal(38,10)", ["-12345678901234567890123456.5", "2.25"], -6.172839450617284e24),
+    ("decimal(30,2)", ["-0.75", "1.50"], 0.375),
+])
+def test_averages_of_wide_decimals(spark, dtype, cells, mean):
+    df = spark.createDataFrame([(c,) for c in cells], "x string").selectExpr(f"cast(x as {dtype}) as x")
+    assert K.checksums(df, "t", classes=("number",)).first()["raw_value"] == pytest.approx(mean, rel=1e-12)
+
+
 def test_positional_diff_without_key(spark):
     a = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "x int, y string")
     b = spark.createDataFrame([(2, "c"), (1, "a"), (1, "z")], "x int, y string")

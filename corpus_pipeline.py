@@ -18,9 +18,11 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model does not reject."""
+    """Documents that the toxicity model does not reject; a model without weights rejects none."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     weights = toxicity.fit(docs, labels)
+    if not weights:
+        return docs
     kept = toxicity.score(docs.drop("score"), weights).where(f"score < {toxicity.THRESHOLD}")
     return kept.select(*docs.columns)
 

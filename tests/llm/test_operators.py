@@ -283,3 +283,14 @@ def test_pipeline_stages(spark, table, library):
         if name != "bpe_encoding":
             assert after.columns == docs.columns
         before = after
+
+
+def test_unfitted_toxicity_stage_keeps_every_document(spark, table, tmp_path):
+    import corpus_pipeline
+
+    docs, labels = table("documents"), table("labels")
+    for name, rows in {"empty": labels.limit(0), "null": labels.withColumn("toxic", F.lit(None).cast("int")), "strange": labels.withColumn("doc_id", -1 - F.col("doc_id"))}.items():
+        rows.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        kept = corpus_pipeline.drop_toxic(spark, docs, f"{tmp_path}/{name}")
+        assert kept.columns == docs.columns
+        assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(r.doc_id for r in docs.select("doc_id").collect())

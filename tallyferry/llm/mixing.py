@@ -1,6 +1,7 @@
 """Mixing sources to target weights with a splitting tree.
 
-Every source is permuted by a hash and cut into blocks. Target weights become
+Every source is permuted by a hash of ids and texts (equal rows are told apart by a
+number) and cut into blocks. Target weights become
 exact block quotas per source. A binary tree over the output shards splits the
 quota vector by multivariate hypergeometric draws, so each shard gets its own
 exact quotas; shards then own disjoint runs of the permuted blocks and order
@@ -20,6 +21,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyferry.session import materialise
+
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MAX_REPEATS = 2
@@ -109,7 +112,8 @@ def plan_mix(
     ``MAX_REPEATS`` times its source's words.
 
     - Null or empty text: size 0. Null source: a source of its own, the last.
-    - Null id: treated as id -1 by the permutation. Equal rows are drawn alike.
+    - Null id or repeated id: rows are placed by id and text, so each is drawn for itself; equal
+      rows by a number within their group too. Which of these is drawn is not defined.
     - A source without words has target 0; its documents follow its blocks and add no words.
     - Empty input: an empty result. Extra columns stay inside ``row``.
     """
@@ -117,11 +121,12 @@ def plan_mix(
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col(f"`{source_col}`").alias("source"),
-        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-1)).alias("id"),
+        F.xxhash64(*[F.col(f"`{c}`") for c in (source_col, id_col, text_col)]).alias("key"),
         word_count(F.col(f"`{text_col}`")).alias("size"),
     )
+    rows = _told_apart(rows)
     # 4096 fine blocks per source, whatever its size; summed next to the scan.
-    fine = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(MAX_BLOCKS)).cast("int")
+    fine = F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(MAX_BLOCKS)).cast("int")
     sums = (
         rows.select("source", fine.alias("fine"), "size")
         .groupBy("source", "fine")
@@ -153,7 +158,8 @@ def plan_mix(
         .withColumn("rest", rest)
         .groupBy("source")
         .agg(
-            F.sum((F.col("upto") <= F.col("rest")).cast("int")).alias("whole"),
+            # The number of the block where the words end: blocks may be missing.
+            F.min(F.when(F.col("upto") > F.col("rest"), F.col("block"))).alias("edge"),
             F.max(F.when(F.col("upto") <= F.col("rest"), F.col("upto"))).alias("done"),
             F.first("rest").alias("rest"),
             F.first("target").alias("target"),
@@ -162,7 +168,7 @@ def plan_mix(
         )
         .select(
             "source", "n_blocks", "target", "source_size",
-            (F.col("whole") + F.expr("least(floor(target / greatest(source_size, 1)), 1) * n_blocks")).cast("int").alias("whole_units"),
+            (F.coalesce("edge", "n_blocks") + F.expr("least(floor(target / greatest(source_size, 1)), 1) * n_blocks")).cast("int").alias("whole_units"),
             (F.col("rest") - F.coalesce("done", F.lit(0))).alias("rest"),
         )
         .collect()
@@ -173,10 +179,10 @@ def plan_mix(
     )
     # The block where a source's words end is cut between documents, in the best of some orders.
     edge = (
-        _with_source(rows.select("source", "id", "size", fine.alias("fine")), known, len(reached) <= BROADCAST_UNITS)
+        _with_source(rows.select("source", "key", "size", fine.alias("fine")), known, len(reached) <= BROADCAST_UNITS)
         .where("fine % n_blocks = whole_units % n_blocks and whole_units < 2 * n_blocks")
-        .select("source", "rest", "size", "id", F.explode(F.sequence(F.lit(0), F.lit(TRIES - 1))).alias("turn"))
-        .withColumn("place", _place("id", "turn", seed))
+        .select("source", "rest", "size", "key", F.explode(F.sequence(F.lit(0), F.lit(TRIES - 1))).alias("turn"))
+        .withColumn("place", _place("key", "turn", seed))
     )
     by_place = Window.partitionBy("source", "turn").orderBy("place").rangeBetween(Window.unboundedPreceding, 0)
     cuts = (
@@ -209,19 +215,49 @@ def plan_mix(
     def taken(copy: int) -> Column:
         unit = block + copy * F.col("n_blocks")
         whole = unit < F.col("whole_units")
-        part = (unit == F.col("whole_units")) & F.col("turn").isNotNull() & (_place("id", "turn", seed) <= F.col("place"))
+        part = (unit == F.col("whole_units")) & F.col("turn").isNotNull() & (_place("key", "turn", seed) <= F.col("place"))
         pair = F.struct(F.lit(copy).alias("copy"), F.get("shard_of", unit).alias("shard"))
         return F.when(F.coalesce(whole | part, F.lit(False)), pair)
 
     return drawn.select(
-        "row", "id", "size", "source_size", "target",
+        "row", "key", "size", "source_size", "target",
         F.filter(F.array(*[taken(c) for c in range(MAX_REPEATS)]), lambda x: x.isNotNull()).alias("draws"),
     )
 
 
-def _place(id_col: str, turn: str, seed: int) -> Column:
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """``rows`` with another ``key`` for each row of equal ones.
+
+    Only the keys are counted; where none repeats, that is all. Else the repeated rows are
+    numbered inside the tasks that read them, tasks after one another, and all rows are
+    written once, so that every later pass sees the same keys.
+    """
+    repeated = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    repeated = materialise(repeated, "mix-repeated")
+    many = repeated.count()
+    if not many:
+        return rows
+    small = many <= BROADCAST_UNITS
+    marks = repeated.select(F.col("key").alias("key_"), F.lit(True).alias("again"))
+    # The reading task and the place in it, written so that they stay.
+    marked = rows.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()})
+    marked = marked.join(F.broadcast(marks) if small else marks, F.expr("key = key_"), "left").drop("key_")
+    marked = materialise(marked, "mix-marked")
+    again = marked.where("again")
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        again.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
+        .select("key", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    )
+    within = F.row_number().over(Window.partitionBy("key", "part").orderBy("at"))
+    numbered = again.withColumn("number", within).join(offsets, ["key", "part"])
+    numbered = numbered.withColumn("key", F.xxhash64("key", F.col("offset") + F.col("number")))
+    return marked.where("again is null").select(*rows.columns).union(materialise(numbered.select(*rows.columns), "mix-numbered"))
+
+
+def _place(key: str, turn: str, seed: int) -> Column:
     """A document's place in the ``turn``-th order of its block."""
-    return F.xxhash64(id_col, turn, F.lit(seed + 1))
+    return F.xxhash64(key, turn, F.lit(seed + 1))
 
 
 def _with_source(rows: DataFrame, table: DataFrame, small: bool) -> DataFrame:
@@ -238,8 +274,8 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, **options) -> Dat
     """
     drawn = (
         plan_mix(docs, shards=shards, seed=seed, **options)
-        .select("row", "id", F.explode("draws").alias("draw"))
-        .select("row", F.col("draw.shard").alias("_shard"), F.xxhash64("id", "draw.copy", F.lit(seed + 2)).alias("_at"))
+        .select("row", "key", F.explode("draws").alias("draw"))
+        .select("row", F.col("draw.shard").alias("_shard"), F.xxhash64("key", "draw.copy", F.lit(seed + 2)).alias("_at"))
     )
     placed = drawn.repartition(shards, "_shard").sortWithinPartitions("_shard", "_at")
     return placed.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

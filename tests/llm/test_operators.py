@@ -119,6 +119,20 @@ def test_mix_meets_targets(spark, table, odd, none):
     assert mixing.plan_mix(none).count() == 0
 
 
+@pytest.mark.parametrize("text", [lambda i: f"text {i} " + "w " * (i % 30), lambda i: "the same few words"])
+def test_mix_meets_targets_without_ids(spark, text):
+    rows = [(None, text(i), "a") for i in range(1000)] + [(7, text(i), "c") for i in range(1000)] + [(i, f"other words {i}", "b") for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    for share in (0.3, 0.9, 1.5, 2.0):
+        plan = mixing.plan_mix(docs, share=share).select("row.doc_id", "row.source", "size", "target", F.size("draws").alias("n")).collect()
+        assert len(plan) == len(rows)
+        for name, target in {r.source: r.target for r in plan}.items():
+            taken = sum(r.n * r.size for r in plan if r.source == name)
+            assert abs(taken - target) <= 0.01 * target + 1
+    again = mixing.plan_mix(docs.repartition(3), share=2.0).select("row.doc_id", "row.source", "size", "target", F.size("draws").alias("n")).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, plan))
+
+
 def test_splitting_tree_is_exact():
     quotas = [1000, 0, 3, 77, 12]
     split = mixing.split_quotas(quotas, 7, 5)

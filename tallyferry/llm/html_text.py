@@ -4,7 +4,8 @@ A page becomes a small tree of elements. Every paragraph-like block earns points
 length and its commas; they go to its ancestors, less with every level, and each
 ancestor's sum is discounted by the share of its text that sits in links. The best
 container wins; siblings that read like text are kept with it. Menus, headers, footers,
-sidebars, notices, adverts, forms, comments, scripts and styles are cut before.
+sidebars, notices, adverts, forms, comments, scripts and styles are cut before. A class or
+an id cuts nothing that holds the article: its paragraphs then earn less instead.
 
 Pages are independent rows, so there is no shuffle; a page is held in memory by itself.
 """
@@ -55,6 +56,20 @@ CUT_NAMES = {
     "subscription", "signup", "login", "share", "sharing", "social", "related", "recommended", "pagination", "pager",
     "toolbar", "widget", "widgets", "skip", "hidden", "copyright", "disclaimer", "form", "search",
 }
+#: Words beside them in a compound name that do not change what it marks.
+NEUTRAL_NAMES = {
+    "site", "page", "main", "global", "top", "bottom", "left", "right", "list", "section", "area", "block", "box", "bar",
+    "container", "wrapper", "wrap", "inner", "outer", "item", "items", "post", "posts", "primary", "secondary", "link",
+    "links", "button", "buttons", "group",
+}
+#: Names that are never those of a layout: what they mark may outweigh the article beside it.
+BESIDE_NAMES = {
+    "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "comment", "comments",
+    "respond", "disqus", "replies", "cookie", "cookies", "consent", "gdpr", "newsletter",
+}
+#: Share of their points that paragraphs keep below a name that marks furniture but holds the article.
+DOWN = 0.25
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
 _STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "tr": {"table"}, "option": {"select"}}
 _PARAGRAPHS = {"p", "pre", "td", "blockquote", "dd", "div", "section", "article", "main", "li", "body", "figcaption"}
@@ -62,33 +77,43 @@ _NAME = re.compile(r"[a-z]+|[0-9]+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "parts", "cut", "score", "chars", "linked")
+    __slots__ = ("tag", "parent", "parts", "cut", "names", "share", "score", "chars", "linked")
 
-    def __init__(self, tag: str, parent: _Node | None, cut: bool):
-        self.tag, self.parent, self.cut = tag, parent, cut
+    def __init__(self, tag: str, parent: _Node | None, cut: bool, names: set[str] | frozenset[str] = frozenset()):
+        self.tag, self.parent, self.cut, self.names = tag, parent, cut, names
+        self.share = 1.0
         self.parts: list[_Node | str] = []
         self.score = 0.0
         self.chars = self.linked = 0
 
 
-def _is_cut(tag: str, attrs: str) -> bool:
-    """Whether an element is furniture by its name, role or class."""
+def _furniture(token: str) -> set[str]:
+    """The names in a class or id that mark it as furniture: a whole token, or a compound with neutral words only."""
+    words = set(_NAME.findall(token))
+    found = words & CUT_NAMES
+    return found if all(w in NEUTRAL_NAMES or w.isdigit() for w in words - found) else set()
+
+
+def _is_cut(tag: str, attrs: str) -> tuple[bool, set[str]]:
+    """Whether an element is furniture by its tag, role or style, and the names of its class and id that say so."""
     if tag in CUT:
-        return True
+        return True, set()
+    names: set[str] = set()
     if not attrs or tag in ("html", "body", "article", "main"):
-        return False
-    names: list[str] = []
+        return False, names
     for name, *values in _ATTR.findall(attrs):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return True, names
         if name == "role" and value in CUT_ROLES:
-            return True
+            return True, names
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-        if name in ("class", "id"):
-            names += _NAME.findall(value)
-    return not CUT_NAMES.isdisjoint(names)
+            return True, names
+        # The id of a heading names its topic.
+        if name == "class" or (name == "id" and tag not in _HEADINGS):
+            for token in value.split():
+                names |= _furniture(token)
+    return False, names
 
 
 def parse(page: str) -> _Node:
@@ -143,7 +168,7 @@ def parse(page: str) -> _Node:
                     node = opened.parent
                 opened = opened.parent
         attrs = found["attrs"] or found["attrs2"] or ""
-        child = _Node(tag, node, _is_cut(tag, attrs))
+        child = _Node(tag, node, *_is_cut(tag, attrs))
         node.parts.append(child)
         if not attrs.rstrip().endswith("/") or tag in BLOCK:
             node = child
@@ -185,17 +210,75 @@ def _own_text(node: _Node) -> str:
     return "".join(out)
 
 
+def _points(node: _Node) -> float:
+    """What a block earns for its own text."""
+    if node.tag not in _PARAGRAPHS:
+        return 0.0
+    own = " ".join(_own_text(node).split())
+    return 1 + own.count(",") + own.count("，") + min(len(own) / 100, 3) if len(own) >= 25 else 0.0
+
+
+def _cut_named(root: _Node) -> None:
+    """Cuts what class or id mark as furniture, unless the page's article is inside: then that earns less.
+
+    Inside is the article if there is a ``main`` or the only ``article`` with text, or if most of
+    the page's points are there. Comments and the like may outweigh the article beside them, so
+    for them these hold only when there is nothing else.
+    """
+    order, stack, named = [], [root], False
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        named = named or bool(node.names)
+        stack.extend(p for p in reversed(node.parts) if not isinstance(p, str) and not p.cut)
+    if not named:
+        return
+    points = {id(n): _points(n) for n in order}
+    # Points of all but comments and the like; whether a main or an article is inside.
+    layout, mains, articles = {}, {}, {}
+    for node in reversed(order):
+        here = id(node)
+        below = [id(p) for p in node.parts if not isinstance(p, str) and not p.cut]
+        layout[here] = points[here] + sum(layout[p] for p in below) if node.names.isdisjoint(BESIDE_NAMES) else 0.0
+        points[here] += sum(points[p] for p in below)
+        has_text = points[here] > 0
+        mains[here] = has_text and (node.tag == "main" or any(mains[p] for p in below))
+        articles[here] = has_text and (node.tag == "article" or any(articles[p] for p in below))
+    # Whether an article or main, however short, is where no name marks it.
+    stack, elsewhere, own = [(root, False, False)], False, False
+    while stack:
+        node, article, main = stack.pop()
+        if not node.names:
+            article, main = article or node.tag == "article", main or node.tag == "main"
+            if (article or main) and any(isinstance(p, str) and p.strip() for p in node.parts):
+                elsewhere, own = elsewhere or article, True
+            stack.extend((p, article, main) for p in node.parts if not isinstance(p, str) and not p.cut)
+    # Where there is nothing but comments and the like, they count as the others do.
+    weight = layout if layout[id(root)] or own else points
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        here = id(node)
+        if node.names:
+            most = weight[here] > weight[id(root)] / 2
+            node.cut = not (mains[here] or most or (articles[here] and weight[here] > 0 and not elsewhere))
+            node.share *= DOWN
+        if not node.cut:
+            for part in node.parts:
+                if not isinstance(part, str) and not part.cut:
+                    part.share = node.share
+                    stack.append(part)
+
+
 def best_nodes(root: _Node) -> list[_Node]:
     """The best container with the siblings that belong to it, in page order."""
+    _cut_named(root)
     order = _measure(root)
     seen = []
     for node in order:
-        if node.tag not in _PARAGRAPHS:
-            continue
-        own = " ".join(_own_text(node).split())
-        if len(own) < 25:
+        points = _points(node) * node.share
+        if not points:
             continue
-        points = 1 + own.count(",") + own.count("，") + min(len(own) / 100, 3)
         node.score += points if node.tag not in ("p", "li") else 0
         above, share = node.parent, 1.0
         level = 1
@@ -232,7 +315,7 @@ def best_nodes(root: _Node) -> list[_Node]:
 
 
 def blocks(nodes: list[_Node]) -> list[str]:
-    """Texts of all blocks below, in page order, white space made single; lists of links are left out."""
+    """Texts of all blocks below, in page order, white space made single."""
     out: list[str] = []
     line: list[str] = []
 
@@ -249,7 +332,7 @@ def blocks(nodes: list[_Node]) -> list[str]:
             end()
         elif isinstance(now, str):
             line.append(now)
-        elif not now.cut and not (now.tag in ("ul", "ol", "table", "div") and now.chars and _link_density(now) > 0.6):
+        elif not now.cut:
             if now.tag in BLOCK:
                 end()
                 stack.append(None)

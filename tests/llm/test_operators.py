@@ -75,6 +75,25 @@ def test_main_text_leaves_furniture_out(spark):
     assert got[5].n_chars == len(got[5].text) == 3000 + 2 * 2999
 
 
+@pytest.mark.parametrize("outer", [
+    "<div class='site has-sidebar'>", "<div class='content no-comments'>", "<div id='page-with-header'>", "<div class='sidebar-left'>",
+    "<div class='widget'>", "<div class='elementor-widget-wrap overflow-hidden'>", "<section id=search>", "<div id=content-sidebar-wrap class=header>",
+])
+@pytest.mark.parametrize("inner", ["div", "article", "main"])
+def test_layout_names_keep_the_article(outer, inner):
+    text = [f"Paragraph {i}, long enough to be one, with a comma or two." for i in range(4)]
+    close = "</section>" if "section" in outer else "</div>"
+    page = (
+        f"<body><div class='cookie-banner'><p>We use cookies, for reasons, and say so here</p></div><ul class=nav><li><a href=/>Home</a></ul>{outer}"
+        f"<{inner}><h2 id=related-work>Related work</h2>{''.join(f'<p>{t}</p>' for t in text)}"
+        f"<ul><li><a href=1>First reference</a><li><a href=2>Second reference</a></ul><table><tr><td><a href=3>Name</a></table></{inner}>"
+        f"{close}<div class='comments-area'><article><p>{'A reader, says, a lot, and more, ' * 9}</p></article></div></body>"
+    )
+    assert html_text.main_text(page).split("\n\n") == ["Related work", *text, "First reference", "Second reference", "Name"]
+    lone = f"<body>{outer}<{inner}><p>{text[0]}</p></{inner}>{close}</body>"
+    assert html_text.main_text(lone) == text[0]
+
+
 def test_pages_keep_their_paragraphs(spark):
     import html
 

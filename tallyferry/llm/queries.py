@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyferry.llm import (
-    bpe_automaton, html_text, line_dedup, mixing, ngram_join, order_minhash, quality_rank, quality_rules, token_files,
+    bpe_automaton, conversation_repair, html_text, line_dedup, mixing, ngram_join, order_minhash, quality_rank, quality_rules, token_files,
     toxicity,
 )
 from tallyferry.llm.labelled import held_out
@@ -121,3 +121,12 @@ def op10_bpe_automaton(spark: SparkSession, sf: str) -> DataFrame:
     """Digests of each document's ids and of the text decoded from them."""
     docs = _read(spark, sf, "documents").select("doc_id", "text")
     return bpe_automaton.round_trip_digests(docs, tokenizer_path())
+
+
+@_query()
+def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Faults, cheapest repair and repaired text of each damaged conversation."""
+    turns = conversation_repair.damage(conversation_repair.turns_of(_read(spark, sf, "conversations")))
+    return conversation_repair.repair_digests(turns, conversation_repair.plan_repairs(turns)).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+    )

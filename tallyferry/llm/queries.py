@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyferry.llm import (
-    bpe_automaton, conversation_repair, html_text, line_dedup, mixing, ngram_join, order_minhash, quality_rank, quality_rules, token_files,
-    toxicity,
+    bpe_automaton, conversation_repair, html_text, line_dedup, mixing, ngram_join, order_minhash, periodic_runs, quality_rank, quality_rules,
+    token_files, toxicity,
 )
 from tallyferry.llm.labelled import held_out
 from tallyferry.session import scratch_path
@@ -130,3 +130,10 @@ def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
     return conversation_repair.repair_digests(turns, conversation_repair.plan_repairs(turns)).select(
         "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
     )
+
+
+@_query()
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Periodic runs of each document, one in ten with a planted tail, and its collapsed text."""
+    docs = _read(spark, sf, "documents").select("doc_id", "text")
+    return periodic_runs.digests(periodic_runs.find_runs(docs, plant=True))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyferry.llm import (
     bpe_automaton, conversation_repair, html_text, line_dedup, mixing, ngram_join, order_minhash, periodic_runs, quality_rank, quality_rules,
-    token_files, toxicity,
+    simhash_join, token_files, toxicity,
 )
 from tallyferry.llm.labelled import held_out
 from tallyferry.session import scratch_path
@@ -137,3 +137,10 @@ def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     """Periodic runs of each document, one in ten with a planted tail, and its collapsed text."""
     docs = _read(spark, sf, "documents").select("doc_id", "text")
     return periodic_runs.digests(periodic_runs.find_runs(docs, plant=True))
+
+
+@_query()
+def op13_simhash_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprint of each document and the group it is linked into."""
+    found = simhash_join.near_duplicates(_read(spark, sf, "documents"))
+    return found.select("doc_id", simhash_join.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")

@@ -1,17 +1,22 @@
 """BPE encoding and decoding with a tokenization automaton.
 
-The merges are compiled one after the other into a deterministic automaton
-over tokens: its states are the tokens just read, and it accepts exactly the
-token sequences that byte-pair encoding produces. Merge number r of (a, b) adds a
-gadget: a state and arc for ab, and from moment r on no arc b out of a state
-that ends in a. The automaton is kept in compressed form: a state stores the
-arcs its own gadget removed and when, and inherits the others from the state of
-its right half; arcs of a token inherit from its left half in the same way. The
-transition table is filled from these gadgets as arcs are met.
-
-Every prefix of a correct sequence is correct, so at each byte position of a
-pre-split word at most one state is alive; encoding looks up transitions and
-closes each position once at most. Decoding emits the labels of the arcs.
+The merges are compiled one after the other into a deterministic automaton over tokens,
+which accepts exactly the token sequences that byte-pair encoding produces. It starts with
+a state behind every byte that has an arc for every byte. The gadget of merge number k,
+(u, v), looks at the state behind u. Has it an arc v, then the pair stands somewhere:
+
+- every state with an arc u gets an arc uv, which leads to a copy of the state behind v;
+- the state behind u loses its arc v.
+
+A copy keeps only what sets it apart: what it was copied from, the moment, and the arcs
+removed since. A state has an arc uv if it had the arc u at moment k, so arcs are kept by
+token: left half and moment. Stored so, a gadget adds one state and one removed arc.
+
+Every byte string is spelled by exactly one accepted sequence, and so is each of its
+beginnings. Encoding a pre-split word goes over its bytes once and keeps, for each
+position, the state that its beginning leads to; transitions out of it are looked up in
+the tables and settle later positions. Nothing is tried and taken back. Decoding emits the
+labels of the arcs.
 
 The vocabulary file (a fixed size) is read by each worker once, from a path that
 the cluster must offer to all of them.
@@ -22,7 +27,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -42,12 +47,16 @@ PRE_SPLIT = (
 #: word never crosses from letters or digits into other signs, so "word", "word." and "word," share a chunk.
 #: Special tokens are whole in a chunk, as they begin with a sign.
 CHUNK = rf"[{WHITE}]*[^\W_]+|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+"
-#: Distinct chunks in one generation of a worker's memory, about 200 bytes each.
-REMEMBERED = 300_000
+#: Bytes of chunks and what they gave in one generation of a worker's memory.
+REMEMBERED = 60 << 20
 #: The same for ``encode_documents``.
-TASK_REMEMBERED = 100_000
+TASK_REMEMBERED = 20 << 20
+#: What a remembered chunk takes besides its text and ids, which take about five bytes a character.
+ENTRY_BYTES = 200
 #: Documents whose ids are handed on together.
 BATCH_DOCS = 500
+#: Looked-up transitions that are kept, about 100 bytes each.
+TABLE_ENTRIES = 200_000
 _NEVER = 1 << 60
 
 
@@ -59,31 +68,40 @@ def _byte_letters() -> dict[str, int]:
 
 
 class Automaton:
-    """The compiled merges: arcs with their labels, and the transition table."""
+    """The compiled merges: states with their removed arcs, arcs with their labels.
+
+    Each merge makes a token of its own out of tokens that earlier merges make.
+    """
 
     def __init__(self, merges: list[tuple[bytes, bytes]], ids: dict[bytes, int], special: dict[str, int]):
         self.label = {i: w for w, i in ids.items()}
         self.special = special
         self.label.update({i: s.encode() for s, i in special.items()})
-        #: A word of the vocabulary that no merge makes is never encoded; it has a label but no arc.
-        self._arc = {w: i for w, i in ids.items() if len(w) == 1}
-        self._left: dict[int, int] = {}
-        self._right: dict[int, int] = {}
-        self._made: dict[int, int] = {}
-        self._gadget: dict[tuple[int, int], int] = {}
+        size = 1 + max(self.label, default=0)
+        #: Per token: the moment of its gadget (a byte: -1, none yet: -2); the token its arc grew
+        #: from; the token whose state was copied to be the state behind it.
+        self.made = [-2] * size
+        self.left = [-1] * size
+        self.right = [-1] * size
+        #: state * size + arc: the moment at which the arc was removed from the state itself.
+        self.removed: dict[int, int] = {}
+        self._size = size
+        #: Per state and arc: looked-up transitions, and how many there are.
+        self._table: dict[int, dict[int, bool]] = {}
+        self._kept = 0
+        # A word of the vocabulary that no gadget makes is never encoded; it has a label but no arc.
+        arcs = {w: i for w, i in ids.items() if len(w) == 1}
+        for arc in arcs.values():
+            self.made[arc] = -1
         for moment, (a, b) in enumerate(merges):
-            self._merge(moment, ids[a], ids[b], ids[a + b])
-            self._arc[a + b] = ids[a + b]
-        #: state -> arc -> whether the arc is left; the state before the first token is None.
-        self._table: dict[int | None, dict[int, bool]] = {}
-        #: Every beginning of a label: the longest label at its own beginning.
+            if self._gadget(moment, ids[a], ids[b], ids[a + b]):
+                arcs[a + b] = ids[a + b]
+        #: Every beginning of a label: its arc, or -1 where only longer labels have one.
         self._begins: dict[bytes, int] = {}
-        for word in self._arc:
-            longest = None
-            for n in range(1, len(word) + 1):
-                longest = self._begins[word[:n]] = self._arc.get(word[:n], longest)
-        self._length = {i: len(w) for w, i in self._arc.items()}
-        self._shorter = {i: self._begins.get(w[:-1]) for w, i in self._arc.items()}
+        for word, arc in arcs.items():
+            for n in range(1, len(word)):
+                self._begins.setdefault(word[:n], -1)
+            self._begins[word] = arc
         self._split = regex.compile(PRE_SPLIT)
         self._marks = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
 
@@ -99,83 +117,69 @@ class Automaton:
         pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         return cls([(as_bytes(a), as_bytes(b)) for a, b in pairs], ids, special)
 
-    def _merge(self, moment: int, a: int, b: int, ab: int) -> None:
-        """The gadget of one merge."""
-        self._gadget[a, b] = moment
-        if ab not in self._made:  # a second way to the same token never wins
-            self._left[ab], self._right[ab], self._made[ab] = a, b, moment
-
-    def _edge(self, token: int, side: dict[int, int]) -> list[tuple[int, int, int]]:
-        """The tokens at one end of ``token`` over time: (token, from moment, until moment)."""
-        out, until = [], _NEVER
-        while token is not None:
-            made = self._made.get(token, -1)
-            out.append((token, made, until))
-            until, token = made, side.get(token)
-        return out
-
-    def _follows(self, state: int, token: int) -> bool:
-        """Whether no gadget has removed the arc ``token`` from ``state``."""
-        ends, begins = self._edge(state, self._right), self._edge(token, self._left)
-        i = j = 0
-        while i < len(ends) and j < len(begins):
-            a, a_from, a_until = ends[i]
-            b, b_from, b_until = begins[j]
-            moment = self._gadget.get((a, b))
-            # Of two equal pairs that overlap, the left one is merged.
-            if moment is not None and moment < a_until and moment <= b_until:
-                return False
-            if a_from >= b_from:
-                i += 1
-            if b_from >= a_from:
-                j += 1
+    def _gadget(self, moment: int, a: int, b: int, ab: int) -> bool:
+        """The gadget of one merge; false when the state behind ``a`` has no arc ``b``."""
+        if self.made[a] == -2 or self.made[b] == -2 or not self.has_arc(a, b):
+            return False
+        self.made[ab], self.left[ab], self.right[ab] = moment, a, b
+        self.removed[a * self._size + b] = moment
         return True
 
-    def _longest(self, word: bytes, at: int) -> int:
-        """The arc with the longest label at a position."""
-        begins, found = self._begins, None
-        for end in range(at + 1, len(word) + 1):
-            longest = begins.get(word[at:end])
-            if longest is None:
-                break
-            found = longest
-        return found
-
-    def encode_word(self, word: bytes) -> list[int]:
-        """Ids of one pre-split word: the one path of the automaton that spells it.
+    def has_arc(self, state: int, arc: int) -> bool:
+        """Whether the state behind a token has an arc; the first state (-1) has all.
 
-        Longest arcs are tried first. A position from which no arc goes on is
-        closed for good, so the work is linear in the word's length.
+        It has unless the arc, or one that it grew from before it did, was removed: from the
+        state, or before the copy from the one that it was copied from.
         """
-        size, at, state = len(word), 0, None
-        out: list[int] = []
-        closed: set[int] = set()
-        table, length, shorter = self._table, self._length, self._shorter
-        token = self._longest(word, 0) if word else None
-        while at < size:
-            row = table.get(state)
+        removed, made, right, size = self.removed, self.made, self.right, self._size
+        until_arc = _NEVER
+        while arc >= 0:
+            at, until = state, until_arc
+            while at >= 0:
+                moment = removed.get(at * size + arc)
+                if moment is not None and moment <= until:
+                    return False
+                if made[at] <= until:
+                    until = made[at] - 1
+                at = right[at]
+            until_arc, arc = made[arc], self.left[arc]
+        return True
+
+    def encode_word(self, word: bytes) -> list[int]:
+        """Ids of one pre-split word: the one path of the automaton that spells it."""
+        whole = self._begins.get(word, -1)
+        if whole >= 0:
+            return [whole]
+        if self._kept > TABLE_ENTRIES:
+            self._table.clear()
+            self._kept = 0
+        label_at, table, size = self._begins.get, self._table, len(word)
+        #: Per position: the arc that reaches it on the path of the bytes before it, and from where.
+        reached = [-1] * (size + 1)
+        starts = [0] * (size + 1)
+        for at in range(size):
+            behind = reached[at]
+            row = table.get(behind)
             if row is None:
-                row = table[state] = {}
-            while token is not None:
-                may = row.get(token)
-                if may is None:
-                    may = row[token] = state is None or self._follows(state, token)
-                if may and (not closed or at + length[token] not in closed):
+                row = table[behind] = {}
+            for end in range(at + 1, size + 1):
+                arc = label_at(word[at:end])
+                if arc is None:
                     break
-                token = shorter[token]
-            if token is None:
-                closed.add(at)
-                last = out.pop()
-                at -= length[last]
-                token = shorter[last]
-                state = out[-1] if out else None
-            else:
-                out.append(token)
-                at += length[token]
-                state = token
-                if at < size:
-                    token = self._longest(word, at)
-        return out
+                if arc >= 0 and reached[end] < 0:
+                    found = row.get(arc)
+                    if found is None:
+                        found = row[arc] = self.has_arc(behind, arc)
+                        self._kept += 1
+                    if found:
+                        reached[end], starts[end] = arc, at
+            if reached[size] >= 0:
+                break
+        out = []
+        while size:
+            out.append(reached[size])
+            size = starts[size]
+        return out[::-1]
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text, special tokens included."""
@@ -215,20 +219,21 @@ class ChunkCoder:
 
     Chunks are independent: a token never crosses from one into the next. ``make``
     turns a list of new chunks into what is remembered of each. Memory is bounded:
-    two generations of ``REMEMBERED`` chunks at most.
+    two generations of about ``remembered`` bytes, and what one text adds.
     """
 
     def __init__(self, make, remembered: int = REMEMBERED):
         self._make = make
         self._most = remembered
+        self._bytes = 0
         self._young: dict[str, object] = {}
         self._old: dict[str, object] = {}
         self._cut = re.compile(CHUNK).findall
 
     def __call__(self, text: str) -> list:
         young, old = self._young, self._old
-        if len(young) > self._most:
-            self._old, self._young = young, {}
+        if self._bytes > self._most:
+            self._old, self._young, self._bytes = young, {}, 0
             young, old = self._young, young
         chunks = self._cut(text)
         out = [young.get(c) for c in chunks]
@@ -242,6 +247,7 @@ class ChunkCoder:
                 else:
                     young[chunk] = made
             young.update(zip(new, self._make(new)))
+            self._bytes += ENTRY_BYTES * len(lost) + 5 * sum(map(len, lost))
             out = [young[c] for c in chunks]
         return out
 
@@ -269,32 +275,36 @@ def _text_coder(path: str) -> ChunkCoder:
     return _coders[path]
 
 
-def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+def encode_documents(
+    docs: DataFrame, path: str, text_col: str = "text", columns: Sequence[str] | None = None
+) -> DataFrame:
     """``docs`` with ``ids`` (array of int): the whole text, encoded.
 
+    ``columns`` names those to keep (all by default); what is not kept, such as the text,
+    is not sent back from the Python workers.
+
     - Null text: as empty, no ids. Repeated rows are encoded each.
     - A very long text is handled chunk by chunk; its ids are one array.
     - Empty input gives an empty result; extra columns pass through, one named
       ``ids`` is replaced.
     """
-    kept = [c for c in docs.columns if c != "ids"]
-    rows = docs.select(*[f"`{c}`" for c in kept])
-    schema = StructType([*rows.schema.fields]).add("ids", ArrayType(IntegerType()))
-    place = kept.index(text_col)
+    kept = [c for c in (docs.columns if columns is None else columns) if c != "ids"]
+    # The text comes first, under a name of its own, and once more if it is kept.
+    rows = docs.select(F.col(f"`{text_col}`").alias("__encoded"), *[f"`{c}`" for c in kept])
+    schema = StructType([*rows.schema.fields[1:]]).add("ids", ArrayType(IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton(path)
         # Of this task alone: a job with other work leaves no room for lasting memories.
         coder = ChunkCoder(lambda chunks: [np.array(machine.encode(c), "<i4").tobytes() for c in chunks], TASK_REMEMBERED)
         for batch in batches:
-            texts = batch.column(place)
-            for first in range(0, len(texts), BATCH_DOCS):
+            for first in range(0, batch.num_rows, BATCH_DOCS):
                 part = batch.slice(first, BATCH_DOCS)
-                found = [b"".join(coder(t.as_py() or "")) for t in part.column(place)]
+                found = [b"".join(coder(t.as_py() or "")) for t in part.column(0)]
                 cuts = np.cumsum([0] + [len(f) // 4 for f in found], dtype=np.int32)
                 values = pa.array(np.frombuffer(b"".join(found), "<i4"))
                 ids = pa.ListArray.from_arrays(pa.array(cuts), values)
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*kept, "ids"])
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], ids], names=[*kept, "ids"])
 
     return rows.mapInArrow(run, schema)
 

@@ -31,8 +31,8 @@ from tallyferry.llm.bpe_automaton import ChunkCoder
 from tallyferry.session import materialise
 
 END = 0
-#: Distinct chunks in one generation of a worker's memory, about 200 bytes each.
-REMEMBERED = 700_000
+#: Bytes of chunks and their ids in one generation of a worker's memory.
+REMEMBERED = 160 << 20
 NO_ID = -(2**63)
 MANIFEST = "part int, name string, first_id long, n_docs long, n_ids long, width int"
 

@@ -18,7 +18,11 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model does not reject; a model without weights rejects none."""
+    """Documents that the toxicity model does not reject; a model without weights rejects none.
+
+    Null and empty texts have no features and are scored like any other; a null id is
+    never learned from. Repeated rows get the same score. An empty table stays empty.
+    """
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     weights = toxicity.fit(docs, labels)
     if not weights:
@@ -28,25 +32,42 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier one holds; n_chars follows the text."""
+    """Documents without lines that an earlier one holds; n_chars follows the text.
+
+    A null text becomes an empty one; a document that loses all lines keeps an empty text.
+    Rows of one id, and all rows without id (the last id), count as one document: lines they
+    share stay in each. No row goes. An empty table stays empty.
+    """
     return line_dedup.dedup_lines(docs).selectExpr(
         *[f"cast(length(text) as bigint) as {c}" if c == "n_chars" else f"`{c}`" for c in docs.columns]
     )
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by 0.8 of their 5-word shingles."""
+    """One document of each group linked by 0.8 of their 5-word shingles.
+
+    Texts without words are linked with nothing and stay. Of a group the row with the
+    smallest id stays, and of rows of that id one. An empty table stays empty.
+    """
     return ngram_join.one_per_group(docs).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix by source weights draws them."""
+    """Documents as often as the mix by source weights draws them.
+
+    A null source is a source, the last one. Documents without words have size 0 and no
+    share to fill. Rows of one id, or without id, are drawn each on its own. An empty
+    table stays empty.
+    """
     return mixing.mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each drawn document: doc_id, source, n_tokens and ids."""
-    ids = bpe_automaton.encode_documents(docs.select("doc_id", "source", "text"), tokenizer_path())
+    """Token ids of each drawn document: doc_id, source, n_tokens and ids.
+
+    A null or empty text has no ids. Repeated rows are encoded each. Empty in, empty out.
+    """
+    ids = bpe_automaton.encode_documents(docs, tokenizer_path(), columns=["doc_id", "source"])
     return ids.selectExpr("doc_id", "source", "cast(size(ids) as bigint) as n_tokens", "ids")
 
 

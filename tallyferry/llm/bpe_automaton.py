@@ -14,9 +14,9 @@ token: left half and moment. Stored so, a gadget adds one state and one removed
 
 Every byte string is spelled by exactly one accepted sequence, and so is each of its
 beginnings. Encoding a pre-split word goes over its bytes once and keeps, for each
-position, the state that its beginning leads to; transitions out of it are looked up in
-the tables and settle later positions. Nothing is tried and taken back. Decoding emits the
-labels of the arcs.
+position, the state that its beginning leads to: the one arc that ends there and that the
+state where it starts has in the transition table. Nothing settled is taken back. Decoding
+emits the labels of the arcs.
 
 The vocabulary file (a fixed size) is read by each worker once, from a path that
 the cluster must offer to all of them.
@@ -90,18 +90,12 @@ class Automaton:
         self._table: dict[int, dict[int, bool]] = {}
         self._kept = 0
         # A word of the vocabulary that no gadget makes is never encoded; it has a label but no arc.
-        arcs = {w: i for w, i in ids.items() if len(w) == 1}
-        for arc in arcs.values():
+        self._arcs = {w: i for w, i in ids.items() if len(w) == 1}
+        for arc in self._arcs.values():
             self.made[arc] = -1
         for moment, (a, b) in enumerate(merges):
             if self._gadget(moment, ids[a], ids[b], ids[a + b]):
-                arcs[a + b] = ids[a + b]
-        #: Every beginning of a label: its arc, or -1 where only longer labels have one.
-        self._begins: dict[bytes, int] = {}
-        for word, arc in arcs.items():
-            for n in range(1, len(word)):
-                self._begins.setdefault(word[:n], -1)
-            self._begins[word] = arc
+                self._arcs[a + b] = ids[a + b]
         self._split = regex.compile(PRE_SPLIT)
         self._marks = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
 
@@ -147,34 +141,33 @@ class Automaton:
 
     def encode_word(self, word: bytes) -> list[int]:
         """Ids of one pre-split word: the one path of the automaton that spells it."""
-        whole = self._begins.get(word, -1)
-        if whole >= 0:
+        arc_of = self._arcs.get
+        whole = arc_of(word)
+        if whole is not None:
             return [whole]
         if self._kept > TABLE_ENTRIES:
             self._table.clear()
             self._kept = 0
-        label_at, table, size = self._begins.get, self._table, len(word)
-        #: Per position: the arc that reaches it on the path of the bytes before it, and from where.
-        reached = [-1] * (size + 1)
-        starts = [0] * (size + 1)
-        for at in range(size):
-            behind = reached[at]
-            row = table.get(behind)
-            if row is None:
-                row = table[behind] = {}
-            for end in range(at + 1, size + 1):
-                arc = label_at(word[at:end])
+        row_of, size = self._table.setdefault, len(word)
+        #: Per position: the arc that reaches it on the path of the bytes before it, from where, and
+        #: the transitions out of the state there.
+        reached, starts, rows = [-1], [0], [row_of(-1, {})]
+        for end in range(1, size + 1):
+            for at in range(end - 1, -1, -1):
+                arc = arc_of(word[at:end])
                 if arc is None:
+                    continue
+                found = rows[at].get(arc)
+                if found is None:
+                    found = rows[at][arc] = self.has_arc(reached[at], arc)
+                    self._kept += 1
+                if found:
+                    reached.append(arc)
+                    starts.append(at)
+                    rows.append(row_of(arc, {}))
                     break
-                if arc >= 0 and reached[end] < 0:
-                    found = row.get(arc)
-                    if found is None:
-                        found = row[arc] = self.has_arc(behind, arc)
-                        self._kept += 1
-                    if found:
-                        reached[end], starts[end] = arc, at
-            if reached[size] >= 0:
-                break
+            else:
+                raise ValueError(f"no token for byte {word[end - 1]}")
         out = []
         while size:
             out.append(reached[size])

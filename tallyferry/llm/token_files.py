@@ -32,7 +32,7 @@ from tallyferry.session import materialise
 
 END = 0
 #: Bytes of chunks and their ids in one generation of a worker's memory.
-REMEMBERED = 160 << 20
+REMEMBERED = 200 << 20
 NO_ID = -(2**63)
 MANIFEST = "part int, name string, first_id long, n_docs long, n_ids long, width int"
 

@@ -15,6 +15,7 @@ from tallyferry.functions import predicates as P
 from tallyferry.functions import scalars as S
 from tallyferry.functions.text import quote_json_cells as quote_cells
 from tallyferry.functions.text import scrub_nul as scrub
+from tallyferry.operators import alignment as A
 from tallyferry.operators import checksum as K
 from tallyferry.operators import chunking as C
 from tallyferry.operators import columns as L
@@ -767,6 +768,41 @@ def positional_diff(spark, sf):
     return D.positional_diff(lines, lines.withColumn("l_linestatus", status))
 
 
+def _moved_lines(lines: DataFrame) -> DataFrame:
+    """Copy of lineitem: some rows missing, some with two other cells, some more with new keys."""
+    key, part = F.col("l_orderkey"), F.col("l_partkey")
+    changed = key % 1000 == 0
+    kept = lines.where(~((key % 997 == 0) & (F.col("l_linenumber") == 1)))
+    copy = kept.withColumn("l_linestatus", F.when(changed, "X").otherwise(F.col("l_linestatus"))).withColumn(
+        "l_partkey", F.when(changed & (F.col("l_linenumber") == 2), part + 1_000_000).otherwise(part)
+    )
+    more = lines.where(key % 1499 == 0).withColumn("l_orderkey", key + 90_000_000).withColumn("l_partkey", part + 1).withColumn(
+        "l_suppkey", F.col("l_suppkey") + 1
+    )
+    return copy.unionByName(more)
+
+
+@query("""
+with changed as (select l_orderkey, l_linenumber, l_partkey, l_linestatus from lineitem
+  where l_orderkey % 1000 = 0 and not (l_orderkey % 997 = 0 and l_linenumber = 1)),
+lines as (
+  select l_orderkey, l_linenumber, 'l_linestatus' as column_name, l_linestatus as source_value, 'X' as target_value,
+         'changed' as kind from changed
+  union all
+  select l_orderkey, l_linenumber, 'l_partkey', cast(l_partkey as varchar), cast(l_partkey + 1000000 as varchar), 'changed'
+  from changed where l_linenumber = 2
+  union all
+  select l_orderkey, l_linenumber, null, null, null, 'source_only' from lineitem
+  where l_orderkey % 997 = 0 and l_linenumber = 1
+  union all
+  select l_orderkey + 90000000, l_linenumber, null, null, null, 'target_only' from lineitem where l_orderkey % 1499 = 0)
+select *, count(*) as copies from lines group by all
+""")
+def aligned_diff(spark, sf):
+    lines = _read(spark, sf, "lineitem")
+    return A.aligned_diff(lines, _moved_lines(lines), ["l_orderkey", "l_linenumber"])
+
+
 _DAILY = "(select *, cast(ts as date) as run_day from events where ts < timestamp '2024-01-28')"
 _DAILY_ALTERED = """(select * replace (case when event_id % 4000 = 0 then user_id + 1 else user_id end as user_id),
   cast(ts as date) as run_day from events where ts < timestamp '2024-01-28')"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,3 +64,18 @@ def ordinal(df: DataFrame, column: str) -> Column:
     if isinstance(dtype, (T.StringType, T.DecimalType)):
         return col
     return col.cast("bigint")
+
+
+def ordinal_literal(df: DataFrame, column: str, value: object) -> Column:
+    """The column's own value whose ``ordinal`` this is; a constant, so filters with it stay pushable."""
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, T.DateType):
+        return F.date_from_unix_date(F.lit(value).cast("int"))
+    if isinstance(dtype, T.TimestampType):
+        # Not through text: an hour that a session zone repeats would be read as its first one.
+        return F.timestamp_micros(F.lit(value))
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.lit(str(datetime(1970, 1, 1) + timedelta(microseconds=value))).cast(dtype)
+    if dtype.typeName().startswith("time("):
+        return F.lit(str((datetime(1970, 1, 1) + timedelta(microseconds=value)).time())).cast(dtype)
+    return F.lit(value).cast(dtype)

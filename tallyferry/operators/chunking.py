@@ -7,17 +7,15 @@ end, and rows without a key form chunk -1.
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyferry.functions.scalars import ordinal
-from tallyferry.operators.ordering import number_rows
+from tallyferry.operators.intervals import CASE_CUTS, halving_case, search_cuts
+from tallyferry.operators.ranks import keys_at_multiples
 from tallyferry.specs import Settings
 
 NULL_CHUNK = -1
@@ -25,8 +23,7 @@ NULL_CHUNK = -1
 MAX_CHUNKS = 1_000_000
 # More shuffle tasks than this cost more than they spread.
 MAX_TASKS = 100_000
-# Up to this many cuts a nested CASE stays small enough for the JIT compiler.
-_CASE_CUTS = 64
+_CASE_CUTS = CASE_CUTS
 
 
 def chunk_boundaries(df: DataFrame, key: str, chunk_rows: int) -> DataFrame:
@@ -36,18 +33,17 @@ def chunk_boundaries(df: DataFrame, key: str, chunk_rows: int) -> DataFrame:
     The boundary keys are those of each ``chunk_rows``-th row in key order; k
     boundaries give k ranges, the last one open, and none gives one open range.
     """
-    numbered, ranges = _numbered_keys(df, key, chunk_rows)
+    cuts, total = keys_at_multiples(df, key, chunk_rows)
+    ranges = total // chunk_rows
     dtype = df.schema[key].dataType
     if ranges == 0:
-        return numbered.agg(F.count(F.lit(1)).alias("row_num")).select(
+        return df.sparkSession.range(1).select(
             F.lit(0).alias("chunk_id"),
-            "row_num",
+            F.lit(total).cast("bigint").alias("row_num"),
             F.lit(None).cast(dtype).alias("low_key"),
             F.lit(None).cast(dtype).alias("high_key"),
         )
-    cuts = numbered.where(F.col("row_num") % chunk_rows == 0).select(
-        (F.col("row_num") / chunk_rows - 1).cast("int").alias("chunk_id"), "row_num", F.col(key).alias("cut")
-    )
+    cuts = cuts.select((F.col("row_num") / chunk_rows - 1).cast("int").alias("chunk_id"), "row_num", "cut")
     # Neighbours are met by a join on their number: no window over all cuts in one task.
     previous = cuts.select((F.col("chunk_id") + 1).alias("chunk_id"), F.col("cut").alias("low_key"))
     high = F.when(F.col("chunk_id") < ranges - 1, F.col("cut"))
@@ -56,13 +52,6 @@ def chunk_boundaries(df: DataFrame, key: str, chunk_rows: int) -> DataFrame:
     )
 
 
-def _numbered_keys(df: DataFrame, key: str, chunk_rows: int) -> tuple[DataFrame, int]:
-    """The non-null keys in order, and how many boundaries they give."""
-    numbered = number_rows(df.where(F.col(key).isNotNull()).select(key), [key])
-    total = numbered.agg(F.max("row_num")).first()[0] or 0
-    return numbered, total // chunk_rows
-
-
 @dataclass(frozen=True)
 class ChunkPlan:
     """Cut keys on the driver: as text, and as numbers (or text) in key order.
@@ -83,14 +72,14 @@ class ChunkPlan:
 
 def plan_chunks(df: DataFrame, key: str, chunk_rows: int) -> ChunkPlan:
     """Bring the boundaries to the driver: rows / chunk_rows small rows, checked."""
-    numbered, ranges = _numbered_keys(df, key, chunk_rows)
+    found, total = keys_at_multiples(df, key, chunk_rows)
+    ranges = total // chunk_rows
     if ranges > MAX_CHUNKS:
         raise ValueError(f"{ranges} chunks of {chunk_rows} rows, {MAX_CHUNKS} allowed: raise the chunk size")
     # The last boundary is no cut: its range stays open.
-    position = F.col("row_num")
-    cuts = numbered.where((position % chunk_rows == 0) & (position < ranges * chunk_rows))
+    cuts = found.where(F.col("row_num") < ranges * chunk_rows)
     rows = cuts.select(
-        "row_num", F.col(key).cast("string").alias("cut"), ordinal(cuts, key).alias("o")
+        "row_num", F.col("cut").cast("string").alias("cut"), ordinal(cuts, "cut").alias("o")
     ).collect()
     rows.sort(key=lambda r: r["row_num"])
     ordinals = tuple(r["o"] for r in rows)
@@ -109,43 +98,18 @@ def assign_chunks(df: DataFrame, plan: ChunkPlan, name: str = "chunk_id") -> Dat
     if len(plan.cuts) <= _CASE_CUTS:
         dtype = df.schema[plan.key].dataType
         literals = [F.lit(c).cast(dtype) for c in plan.cuts]
-        number = _halving_case(key, literals, 0, len(literals))
+        number = halving_case(key, literals, 0, len(literals))
     else:
-        number = _cut_finder(plan.ordinals)(_without_null(ordinal(df, plan.key), plan.ordinals[0]))
+        number = search_cuts(plan.ordinals)(_without_null(ordinal(df, plan.key), plan.ordinals[0]))
     chunk = F.when(key.isNull(), F.lit(NULL_CHUNK)).otherwise(number)
     return df.withColumn(name, chunk.cast("int"))
 
 
-def _halving_case(key: Column, cuts: Sequence[Column], low: int, high: int) -> Column:
-    """Binary search as nested CASE: log2(cuts) comparisons per row, in codegen."""
-    if low == high:
-        return F.lit(low)
-    middle = (low + high) // 2
-    return F.when(key < cuts[middle], _halving_case(key, cuts, low, middle)).otherwise(
-        _halving_case(key, cuts, middle + 1, high)
-    )
-
-
 def _without_null(value: Column, stand_in: object) -> Column:
     # NULL would turn integer batches into floats; those rows get chunk -1 anyway.
     return F.coalesce(value, F.lit(stand_in))
 
 
-def _cut_finder(cuts: Sequence[object]):
-    """Binary search over whole Arrow batches, for plans with many cuts."""
-    sorted_cuts = np.asarray(cuts)
-    if sorted_cuts.dtype.kind not in "iuf":
-        sorted_cuts = np.asarray(cuts, dtype=object)
-
-    @F.pandas_udf(T.IntegerType())
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for keys in batches:
-            found = np.searchsorted(sorted_cuts, keys.to_numpy(), side="right")
-            yield pd.Series(found.astype(np.int32))
-
-    return find
-
-
 def spread_by_chunk(
     df: DataFrame, plan: ChunkPlan, tasks_per_chunk: int = 1, name: str = "chunk_id"
 ) -> DataFrame:

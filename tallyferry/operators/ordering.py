@@ -14,12 +14,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyferry.functions.scalars import ordinal_literal
+from tallyferry.operators.ranks import key_at
 from tallyferry.session import materialise, partitions_for
 
 _SPREAD, _PART, _POS = "__spread", "__part", "__pos"
 _POSITION_BITS = (1 << 33) - 1  # the row part of monotonically_increasing_id
 
-# Top-k merges k rows per task in one task; above this the sorted order is used.
+# A limit merges so many rows in one task; above this they are numbered in parallel.
 TOP_K_LIMIT = 50_000
 
 
@@ -59,13 +61,36 @@ def number_rows(
 
 
 def top_rows(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """The ``rows`` rows with the highest keys, in descending order.
+    """The ``rows`` rows with the highest keys, in descending order; NULL keys are the lowest.
 
-    The scan is coalesced to a few tasks per core first, so the merge of the
-    per-task winners grows with the cluster and not with the table.
+    The key at that position is found first, so one pushed filter picks the rows and only they
+    are sorted, however many are asked for.
     """
-    slots = 4 * df.sparkSession.sparkContext.defaultParallelism
-    return df.coalesce(slots).orderBy(F.col(key).desc()).limit(rows)
+    if rows <= 0:
+        return df.limit(0)
+    found = key_at(df, key, rows, descending=True)
+    column = F.col(key)
+    if found is None:
+        given = df.where(column.isNotNull())
+        picked = given.unionByName(_some(df.where(column.isNull()), rows - given.count()))
+    else:
+        threshold = ordinal_literal(df, key, found.ordinal)
+        if max(rows, found.last - found.first) <= TOP_K_LIMIT:
+            # So few rows pass the filter that one task can merge them.
+            return df.where(column >= threshold).orderBy(column.desc()).limit(rows)
+        missing = rows - (found.total - found.last)
+        if missing == found.last - found.first + 1:
+            picked = df.where(column >= threshold)
+        else:
+            picked = df.where(column > threshold).unionByName(_some(df.where(column == threshold), missing))
+    return picked.orderBy(column.desc())
+
+
+def _some(df: DataFrame, rows: int) -> DataFrame:
+    """Any ``rows`` rows; many are numbered in parallel instead of passing through one task."""
+    if rows <= TOP_K_LIMIT:
+        return df.limit(rows)
+    return number_rows(df, [], "__place").where(F.col("__place") <= rows).drop("__place")
 
 
 def newest(df: DataFrame, key: str, rows: int) -> DataFrame:
@@ -76,19 +101,7 @@ def newest(df: DataFrame, key: str, rows: int) -> DataFrame:
 def key_at_position(df: DataFrame, key: str, position: int) -> DataFrame:
     """One row: the key at ``position`` in descending order (``key``) and its RANK
     (``ranking``); both NULL when the table has fewer non-null keys."""
-    keys = df.select(key)
-    if position <= TOP_K_LIMIT:
-        top = newest(keys, key, position).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        lowest = F.min_by(F.struct(F.col(key).alias("k"), F.col("n")), F.col(key))
-        found = top.agg(lowest.alias("low"), F.sum("n").alias("rows"))
-        enough = F.col("rows") == F.lit(position)
-        return found.select(
-            F.when(enough, F.col("low.k")).alias("key"),
-            F.when(enough, F.col("rows") - F.col("low.n") + 1).alias("ranking"),
-        )
-    numbered = number_rows(keys.where(F.col(key).isNotNull()), [F.col(key).desc()])
-    spans = numbered.groupBy(key).agg(
-        F.min("row_num").alias("ranking"), F.max("row_num").alias("last")
-    )
-    hit = spans.where((F.col("ranking") <= position) & (F.col("last") >= position))
-    return hit.agg(F.max(key).alias("key"), F.max("ranking").alias("ranking"))
+    found = key_at(df, key, position, descending=True)
+    value = F.lit(None).cast(df.schema[key].dataType) if found is None else ordinal_literal(df, key, found.ordinal)
+    ranking = F.lit(None if found is None else found.total - found.last + 1).cast("bigint")
+    return df.sparkSession.range(1).select(value.alias("key"), ranking.alias("ranking"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyferry.functions.predicates import date_window, outside
-from tallyferry.session import child_names, clear_folder, materialise
+from tallyferry.session import child_names, clear_folder, hadoop_path, materialise, path_exists
 from tallyferry.specs import Window
 
 DAY = "day_part"
@@ -39,7 +39,7 @@ def _by_day(df: DataFrame, date_col: str) -> DataFrame:
 
 def read_target(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A target as its own columns, day partition left out. Empty folder: no rows."""
-    if not _has_data(spark, path):
+    if not has_data(spark, path):
         return spark.createDataFrame([], schema)
     full = schema
     if is_by_day(spark, path):
@@ -51,7 +51,7 @@ def is_by_day(spark: SparkSession, path: str) -> bool:
     return any(n.startswith(f"{DAY}=") for n in child_names(spark, path))
 
 
-def _has_data(spark: SparkSession, path: str) -> bool:
+def has_data(spark: SparkSession, path: str) -> bool:
     return any(not n.startswith(("_", ".")) for n in child_names(spark, path))
 
 
@@ -66,7 +66,7 @@ def replace_window(
     schema = T.StructType([f for f in fresh.schema.fields if f.name != DAY])
     fresh = fresh.select(*schema.names)
     fresh = fresh.where(F.coalesce(date_window(fresh, date_col, window), F.lit(False)))
-    if _has_data(spark, path):
+    if has_data(spark, path):
         if not is_by_day(spark, path):
             raise ValueError(f"{path} is not partitioned by day: write it with write_days")
         stored = spark.read.schema(
@@ -103,6 +103,54 @@ def _drop_days(spark: SparkSession, path: str, window: Window, keep: set[str]) -
             clear_folder(spark, f"{path}/{name}")
 
 
+def replace_days(spark: SparkSession, path: str, fresh: DataFrame, date_col: str, days: list[str]) -> None:
+    """Replace whole days (``YYYY-MM-DD``) of a day-partitioned target; other rows of ``fresh`` are left out."""
+    day = F.col(date_col).cast("date")
+    fresh = fresh.where(day.isin([F.lit(d).cast("date") for d in days]))
+    written = {str(r[0]) for r in fresh.select(day).distinct().collect()}
+    _by_day(fresh, date_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
+    for empty in set(days) - written:
+        clear_folder(spark, f"{path}/{DAY}={empty}")
+
+
+def publish_files(spark: SparkSession, staged: str, target: str, name: str) -> None:
+    """Move the files of a staged table, folders kept, into a target under names that begin with ``name``.
+
+    Files that an earlier attempt of the same name moved are taken out first, so
+    running it again replaces them. Only names are touched, not data.
+    """
+    mark = f"{target}/_batches/{name}"
+    _, fs = hadoop_path(spark, target)
+    if path_exists(spark, mark):
+        for folder, file in data_files(spark, target):
+            if file.startswith(f"{name}-"):
+                clear_folder(spark, f"{target}/{folder}{file}")
+    else:
+        # Set before the first file moves: whoever finds it knows that some may have.
+        fs.mkdirs(hadoop_path(spark, mark)[0])
+    for folder, file in data_files(spark, staged):
+        fs.mkdirs(hadoop_path(spark, f"{target}/{folder}")[0])
+        moved = fs.rename(
+            hadoop_path(spark, f"{staged}/{folder}{file}")[0], hadoop_path(spark, f"{target}/{folder}{name}-{file}")[0]
+        )
+        if not moved:
+            raise OSError(f"{staged}/{folder}{file} could not be moved to {target}")
+    clear_folder(spark, staged)
+
+
+def data_files(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(folder with a slash, or nothing; file) of the Parquet files at most one folder below ``path``."""
+    found = []
+    for name in child_names(spark, path):
+        if name.startswith(("_", ".")):
+            continue
+        if name.endswith(".parquet"):
+            found.append(("", name))
+        else:
+            found += [(f"{name}/", file) for file in child_names(spark, f"{path}/{name}") if file.endswith(".parquet") and file[0] not in "._"]
+    return found
+
+
 def append_target(spark: SparkSession, table: str, rows: DataFrame) -> None:
     """Append to a catalog table, columns matched by name."""
     names = spark.table(table).columns

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyferry.functions.predicates import conjoin, key_range, typed_literal
+from tallyferry.functions.scalars import ordinal, ordinal_literal
 from tallyferry.operators.ordering import key_at_position, newest, top_rows
 
 
@@ -95,6 +96,13 @@ def sample_date_floor(df: DataFrame, key: str, date_col: str, sample_size: int)
     return top.agg(F.min(date_col).alias("date_floor"))
 
 
+def date_floor(df: DataFrame, key: str, date_col: str, sample_size: int) -> Column | None:
+    """The same date as a constant; None when no such row has a date."""
+    found = sample_date_floor(df, key, date_col, sample_size)
+    value = found.select(ordinal(found, "date_floor")).first()[0]
+    return None if value is None else ordinal_literal(df, date_col, value)
+
+
 def sample_slice(
     df: DataFrame,
     key: str,
@@ -110,7 +118,8 @@ def sample_slice(
     """
     recent = df
     if date_col is not None and floor is not None:
-        recent = df.where(F.col(date_col) > typed_literal(df, date_col, floor))
+        after = floor if isinstance(floor, Column) else typed_literal(df, date_col, floor)
+        recent = df.where(F.col(date_col) > after)
     low = scalar_text(sample_threshold_full(recent, key, sample_size + 1), "threshold")
     if low is None:
         low = scalar_text(df.agg(F.min(key).alias("smallest")), "smallest")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyferry.functions.predicates import date_window
 from tallyferry.operators.chunking import assign_chunks, plan_chunks, spread_by_chunk
-from tallyferry.operators.select import sample_slice, sort_desc
+from tallyferry.operators.select import date_floor, sample_slice, sort_desc
 from tallyferry.operators.sizing import chunk_rows_for, stored_mb
 from tallyferry.session import clear_folder
 from tallyferry.sources.delimited import CHUNK, write_delimited
@@ -51,7 +51,10 @@ def export_table(
         if spec.sample_window:
             condition = date_window(df, spec.date_col, spec.sample_window)
         else:
-            _, _, condition = sample_slice(df, spec.partition_col, sample_size)
+            floor = None
+            if spec.sample_floor and spec.date_col:
+                floor = date_floor(df, spec.partition_col, spec.date_col, sample_size)
+            _, _, condition = sample_slice(df, spec.partition_col, sample_size, spec.date_col, floor)
         ordered = sort_desc(df.where(condition), spec.partition_col)
         return _write_one(ordered, spec, path, condition, settings)
     condition = date_window(df, spec.date_col, window)

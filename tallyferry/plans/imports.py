@@ -9,9 +9,10 @@ from tallyferry.operators.maintain import (
     append_path, read_target, replace_window, truncate_path,
 )
 from tallyferry.plans.audit import reconcile_tables
-from tallyferry.session import clear_folder, path_exists, scratch_path
-from tallyferry.sources.delimited import Loaded, load_delimited, write_counting_bad
+from tallyferry.session import clear_folder, file_count, path_exists, scratch_path
+from tallyferry.sources.delimited import Loaded, header_of, load_delimited, write_counting_bad
 from tallyferry.specs import MissingInput, Settings, TableSpec, TooManyBadRows, Window
+from tallyferry.streaming.file_batches import load_into_target
 
 
 def stage_good_rows(
@@ -43,19 +44,36 @@ def import_table(
     settings: Settings = Settings(),
     multi_line: bool = False,
     quarantine: str | None = None,
+    progress: str | None = None,
 ) -> DataFrame:
     """Load ``<files>/<table>`` into the folder target and return the target.
 
     With a window and a date column the window's rows are replaced, so a second
-    run changes nothing; otherwise the rows are appended.
+    run changes nothing; otherwise the rows are appended. More than ``files_per_batch``
+    files are loaded that many at a time, and so are any when ``progress`` is given:
+    files that this folder knows are not appended again. The budget of bad rows is one
+    batch's then, and its quarantine a folder below ``quarantine``.
     """
     source = f"{files.rstrip('/')}/{spec.name}"
     if not path_exists(spark, source):
         raise MissingInput(f"{spec.name}: no folder of files to load at {source}")
-    staged = stage_good_rows(
-        load_delimited(spark, source, schema, settings, multi_line), settings, quarantine
-    )
-    if window and spec.date_col and settings.idempotent:
+    replacing = bool(window and spec.date_col and settings.idempotent)
+    if not multi_line and (progress or file_count(spark, source) > settings.files_per_batch):
+        header = header_of(spark, source, settings)
+        if not replacing:
+            load_into_target(
+                spark, source, header, schema, target, settings, progress or scratch_path(spark, "progress"), spec.date_col, quarantine
+            )
+            return read_target(spark, target, schema)
+        # All files make up the window, so they are only staged in batches and known to no later run.
+        path = scratch_path(spark, "staged")
+        load_into_target(spark, source, header, schema, path, settings, scratch_path(spark, "progress"), None, quarantine)
+        staged = read_target(spark, path, schema)
+    else:
+        staged = stage_good_rows(
+            load_delimited(spark, source, schema, settings, multi_line), settings, quarantine
+        )
+    if replacing:
         replace_window(spark, target, staged, spec.date_col, window)
     else:
         append_path(staged, target, schema, spec.date_col)

@@ -803,9 +803,9 @@ def aligned_diff(spark, sf):
     return A.aligned_diff(lines, _moved_lines(lines), ["l_orderkey", "l_linenumber"])
 
 
-_DAILY = "(select *, cast(ts as date) as run_day from events where ts < timestamp '2024-01-28')"
+_DAILY = "(select *, cast(ts as date) as run_day from events)"
 _DAILY_ALTERED = """(select * replace (case when event_id % 4000 = 0 then user_id + 1 else user_id end as user_id),
-  cast(ts as date) as run_day from events where ts < timestamp '2024-01-28')"""
+  cast(ts as date) as run_day from events)"""
 
 
 @query(f"""
@@ -825,7 +825,7 @@ def failure_scan(spark, sf):
     user = F.when(F.col("event_id") % 4000 == 0, F.col("user_id") + 1).otherwise(F.col("user_id"))
     reports = materialise(
         B.report_by_day(
-            events, events.withColumn("user_id", user), EVENTS, Window(end="2024-01-28 00:00:00")
+            events, events.withColumn("user_id", user), EVENTS, Window("2023-12-30 00:00:00", "2024-02-03 00:00:00")
         ),
         "reports",
     )
@@ -882,6 +882,21 @@ def export_sample(spark, sf):
     return T.load_delimited(spark, done.path, lines.schema, Settings()).good()
 
 
+@query("""
+with f as (select min(ts) as floor from (select ts from events where event_id is not null order by event_id desc limit 900)),
+r as (select rank() over (order by event_id desc) as ranking, event_id from events, f where ts > floor),
+b as (select coalesce((select min(event_id) from r where ranking = 301), (select min(event_id) from events)) as low,
+             (select max(event_id) from events) as high)
+select events.* from events, b where event_id >= low and event_id < high
+""")
+def export_sample_floor(spark, sf):
+    """Sample mode with a date floor: ranks count only rows dated after the oldest of the 900 newest keys."""
+    events, out = _read(spark, sf, "events"), scratch_path(spark, "floor")
+    spec = TableSpec("events", "event_id", "ts", ("event_id",), sample_floor=True)
+    done = export_table(events, spec, out, sample_size=300)
+    return T.load_delimited(spark, done.path, events.schema, Settings()).good()
+
+
 @query("select * from orders")
 def export_whole(spark, sf):
     """Whole mode with chunking on, thresholds low enough to cut."""
@@ -912,6 +927,36 @@ def import_job(spark, sf):
     )
 
 
+@query(f"select * from {_MOVED}")
+def import_batches(spark, sf):
+    """Files loaded three at a time into a target by day; a second run with the same progress adds nothing."""
+    events, out = _read(spark, sf, "events"), scratch_path(spark, "export")
+    target, progress = scratch_path(spark, "imported"), scratch_path(spark, "progress")
+    settings = Settings(files_per_batch=3)
+    window = Window("2024-01-08 00:00:00", "2024-01-22 00:00:00")
+    export_table(events.repartition(8, "event_id"), EVENTS, out, window=window, settings=settings)
+    for _ in range(2):
+        loaded = import_table(spark, EVENTS, events.schema, out, target, settings=settings, progress=progress)
+    return loaded
+
+
+@query("""
+with d as (select cast(g.d as date) as run_day
+           from generate_series(date '2024-01-05', date '2024-01-24', interval 1 day) g(d))
+select run_day, 'checked' as status, count(event_id) as row_count, cast(max(event_id) as varchar) as last_id,
+       case when run_day < date '2024-01-11' then 'first' else 'second' end as loaded_by
+from d left join events on cast(ts as date) = run_day group by run_day
+""")
+def backfill_resume(spark, sf):
+    """A load of some days, then one of more: days that are loaded and checked are not written again."""
+    events = _read(spark, sf, "events")
+    target, state = scratch_path(spark, "resumed"), scratch_path(spark, "state")
+    B.backfill(spark, events, EVENTS, target, "2024-01-05", "2024-01-11", state, "2024-02-01 00:00:00")
+    B.backfill(spark, events, EVENTS, target, "2024-01-05", "2024-01-25", state, "2024-02-02 00:00:00")
+    name = F.when(F.col("run_ts") < "2024-02-02", "first").otherwise("second")
+    return B.day_states(spark, state).select("run_day", "status", "row_count", "last_id", name.alias("loaded_by"))
+
+
 _BACKFILLED = "(select *, cast(ts as date) as run_day from events where ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-25')"
 
 

@@ -95,6 +95,15 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(jpath)]
 
 
+def file_count(spark: SparkSession, path: str) -> int:
+    """Data files at any depth below a folder; hidden ones are no data."""
+    jpath, fs = hadoop_path(spark, path)
+    files, found = fs.listFiles(jpath, True), 0
+    while files.hasNext():
+        found += not files.next().getPath().getName().startswith(("_", "."))
+    return found
+
+
 def partitions_for(df: DataFrame, target_mb: int = 256) -> int | None:
     """How many shuffle partitions ``df`` needs, or None when the session's number will do.
 

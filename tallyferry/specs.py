@@ -33,7 +33,8 @@ class TableSpec:
     windows (None: the table is always moved whole), ``key_cols`` identify a
     row when two copies are compared cell by cell. ``target_name`` is set when
     the copy has another name, ``sample_window`` when samples of this table are
-    a fixed date window instead of its newest keys.
+    a fixed date window instead of its newest keys. With ``sample_floor`` a sample's keys
+    are ranked among the rows dated after the oldest of the 3n newest keys only.
     """
 
     name: str
@@ -42,6 +43,7 @@ class TableSpec:
     key_cols: tuple[str, ...] = ()
     target_name: str | None = None
     sample_window: "Window | None" = None
+    sample_floor: bool = False
 
     @property
     def target(self) -> str:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tallyferry.operators.maintain import has_data, is_by_day, publish_files, write_days
 from tallyferry.session import child_names, clear_folder, path_exists, scratch_path
 from tallyferry.sources.delimited import RAW, Loaded, conform, parse_options, write_counting_bad
 from tallyferry.specs import MissingInput, Settings, TooManyBadRows
@@ -28,6 +32,26 @@ def load_in_batches(
     what it wrote. ``progress`` keeps the stream's checkpoint: given again, only
     files that are new since then are loaded.
     """
+    run_batches(
+        spark, path, header, schema, settings, progress or scratch_path(spark, "progress"),
+        lambda loaded, number: store_batch(loaded, f"{target}/{BATCH}={number}", settings),
+    )
+    return sum(1 for name in child_names(spark, target) if name.startswith(f"{BATCH}="))
+
+
+def run_batches(
+    spark: SparkSession,
+    path: str,
+    header: list[str],
+    schema: T.StructType,
+    settings: Settings,
+    progress: str,
+    commit: Callable[[Loaded, int], None],
+) -> None:
+    """Give the files that ``progress`` does not know to ``commit``, some at a time, with the batch's number.
+
+    A batch that did not end is given again with the same files and the same number.
+    """
     if not path_exists(spark, path):
         raise MissingInput(f"no files to load: {path} does not exist")
     text = T.StructType(
@@ -42,12 +66,11 @@ def load_in_batches(
     )
 
     def write_batch(batch: DataFrame, number: int) -> None:
-        loaded = conform(batch, schema, settings.separator, escaped=settings.escape_breaks)
-        store_batch(loaded, f"{target}/{BATCH}={number}", settings)
+        commit(conform(batch, schema, settings.separator, escaped=settings.escape_breaks), number)
 
     query = (
         stream.writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", progress or scratch_path(spark, "progress"))
+        .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()
     )
@@ -55,7 +78,6 @@ def load_in_batches(
         query.awaitTermination()
     finally:
         query.stop()
-    return sum(1 for name in child_names(spark, target) if name.startswith(f"{BATCH}="))
 
 
 def store_batch(loaded: Loaded, folder: str, settings: Settings) -> None:
@@ -67,3 +89,40 @@ def store_batch(loaded: Loaded, folder: str, settings: Settings) -> None:
     if bad > settings.max_bad_rows:
         clear_folder(loaded.rows.sparkSession, folder)
         raise TooManyBadRows(f"{bad} bad rows, {settings.max_bad_rows} allowed, for {folder}")
+
+
+def load_into_target(
+    spark: SparkSession,
+    path: str,
+    header: list[str],
+    schema: T.StructType,
+    target: str,
+    settings: Settings,
+    progress: str,
+    date_col: str | None = None,
+    quarantine: str | None = None,
+) -> None:
+    """Append files to a folder target some at a time; each batch's rows are in it exactly once.
+
+    The files that a batch adds bear its number and its ``progress`` folder. A batch that
+    runs again, because the run before broke, first takes out what it had added.
+    """
+    stream = hashlib.md5(progress.rstrip("/").encode()).hexdigest()[:12]
+    by_day = date_col is not None and (is_by_day(spark, target) or not has_data(spark, target))
+
+    def commit(loaded: Loaded, number: int) -> None:
+        name = f"batch-{stream}-{number}"
+        stored, shaped = scratch_path(spark, "batch"), scratch_path(spark, "batch-files")
+        if quarantine:
+            bad = loaded.bad()
+            bad.write.mode("overwrite").parquet(f"{quarantine}/{name}")
+        store_batch(loaded, stored, settings)
+        rows = spark.read.schema(schema).parquet(stored)
+        if by_day:
+            write_days(rows, shaped, date_col)
+        else:
+            rows.write.parquet(shaped)
+        publish_files(spark, shaped, target, name)
+        clear_folder(spark, stored)
+
+    run_batches(spark, path, header, schema, settings, progress, commit)

@@ -44,12 +44,14 @@ def non_null_keys(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).select(F.col(key).alias(_KEY), ordinal(df, key).alias(_ORD))
 
 
-def _split_keys(keys: DataFrame, rows: int, wanted: int) -> list:
+def split_keys(keys: DataFrame, rows: int, wanted: int) -> list:
     """About ``wanted`` different ordinals in order, from a sample of bounded size."""
+    if wanted < 1:
+        return []
     sample = keys.sample(min(1.0, wanted * SAMPLED_EACH / rows), seed=17) if rows > wanted * SAMPLED_EACH else keys
     seen = [r[0] for r in sample.select(_ORD).orderBy(_ORD).limit(4 * wanted * SAMPLED_EACH).collect()]
-    step = max(1, len(seen) // wanted)
-    return list(dict.fromkeys(seen[step // 2 :: step]))
+    count = min(wanted, len(seen))
+    return list(dict.fromkeys(seen[len(seen) * (2 * i + 1) // (2 * count)] for i in range(count)))
 
 
 def _counted(keys: DataFrame, splits: list) -> list:
@@ -74,7 +76,7 @@ def key_at(df: DataFrame, key: str, position: int, descending: bool = False, bra
         return None
     wanted, before = (total - position + 1 if descending else position), 0
     while rows > bracket_rows:
-        splits = _split_keys(keys, rows, NARROW_SPLITS) or [keys.first()[_ORD]]
+        splits = split_keys(keys, rows, NARROW_SPLITS) or [keys.first()[_ORD]]
         for part in _counted(keys, splits):
             if before + part["n"] >= wanted:
                 break
@@ -106,7 +108,7 @@ def keys_at_multiples(df: DataFrame, key: str, step: int) -> tuple[DataFrame, in
     """
     keys = non_null_keys(df, key)
     total = keys.count()
-    splits = _split_keys(keys, total, min(MAX_SPLITS, SPLITS_EACH * (total // step))) if total > BRACKET_ROWS and total >= step else []
+    splits = split_keys(keys, total, min(MAX_SPLITS, SPLITS_EACH * (total // step))) if total > BRACKET_ROWS and total >= step else []
     offsets, before = [], 0
     for part in _counted(keys, splits) if splits else [{_PART: 0, _AT: False, "n": total}]:
         if (before + part["n"]) // step > before // step:

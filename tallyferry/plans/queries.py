@@ -20,11 +20,13 @@ from tallyferry.operators import checksum as K
 from tallyferry.operators import chunking as C
 from tallyferry.operators import columns as L
 from tallyferry.operators import diffs as D
+from tallyferry.operators import digest_tree as G
 from tallyferry.operators import maintain as M
 from tallyferry.operators import ordering as O
 from tallyferry.operators import reconcile as R
 from tallyferry.operators import select as X
 from tallyferry.operators import sizing as Z
+from tallyferry.operators import versions as V
 from tallyferry.plans import backfill as B
 from tallyferry.plans.export import export_table
 from tallyferry.plans.imports import import_table
@@ -664,6 +666,24 @@ def replace_window(spark, sf):
     return M.read_target(spark, path, events.schema)
 
 
+@query("""
+select event_id, ts, user_id, event_type,
+       case when ts >= timestamp '2024-01-05 06:00:00' and ts < timestamp '2024-01-20' then value else -1.0 end as value,
+       props
+from events
+where not (ts >= timestamp '2024-01-12' and ts < timestamp '2024-01-13')
+""")
+def replace_window_atomic(spark, sf):
+    """The same replacement, each time visible at once; old states are released."""
+    events, path = _read(spark, sf, "events"), scratch_path(spark, "versions")
+    V.replace_window_at_once(spark, path, events.withColumn("value", F.lit(-1.0)), "ts", Window("2023-01-01 00:00:00"))
+    fresh = M.delete_rows(events, P.date_window(events, "ts", Window("2024-01-12 00:00:00", "2024-01-13 00:00:00")))
+    for _ in range(2):
+        V.replace_window_at_once(spark, path, fresh, "ts", Window("2024-01-05 06:00:00", "2024-01-20 00:00:00"))
+    V.release_versions(spark, path)
+    return V.read_version(spark, path, events.schema)
+
+
 @query("select count(*) as rows_before, cast(0 as bigint) as rows_after from orders")
 def truncate_target(spark, sf):
     orders, path = _read(spark, sf, "orders"), scratch_path(spark, "emptied")
@@ -740,6 +760,25 @@ def field_diff(spark, sf):
     return D.field_diff(orders, _altered(orders), ["o_orderkey"])
 
 
+@query("""
+with s as (select * from lineitem where l_linenumber = 1),
+o as (select l_orderkey, min(l_extendedprice) as price from s group by l_orderkey),
+t as (select l_orderkey, case when l_orderkey between 1000 and 1099 then price + 1 else price end as price from o
+      where l_orderkey not between 1300 and 1309)
+select l_orderkey, 'price' as column_name, cast(o.price as varchar) as source_value, cast(t.price as varchar) as target_value,
+       'changed' as kind from o join t using (l_orderkey) where o.price <> t.price
+union all
+select l_orderkey, null, null, null, 'source_only' from o where l_orderkey not in (select l_orderkey from t)
+""")
+def tree_diff(spark, sf):
+    """Changes in two short key ranges: the join reads these and their neighbours only."""
+    lines = _read(spark, sf, "lineitem").where("l_linenumber = 1")
+    source = lines.groupBy("l_orderkey").agg(F.min("l_extendedprice").alias("price"))
+    price = F.when(F.col("l_orderkey").between(1000, 1099), F.col("price") + 1).otherwise(F.col("price"))
+    target = source.where(~F.col("l_orderkey").between(1300, 1309)).withColumn("price", price)
+    return G.tree_diff(source, target, ["l_orderkey"]).lines
+
+
 @query(f"""
 with t as {_ALTERED_SQL},
 a as (select * from orders except all select * from t), b as (select * from t except all select * from orders)

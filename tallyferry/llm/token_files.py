@@ -67,6 +67,12 @@ def library_coder(tokenizer: str, end_id: int) -> tuple[ChunkCoder, int]:
     return _coders[tokenizer, end_id]
 
 
+def arrow_uri(folder: str) -> str:
+    """The folder under the name that Arrow knows its kind of store by; Spark's checkpoint folder may say ``s3a``."""
+    kind, mark, place = folder.partition("://")
+    return f"s3://{place}" if mark and kind in ("s3a", "s3n") else folder
+
+
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer: str, end_id: int = END, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -89,7 +95,7 @@ def write_token_files(
         end = np.array([end_id], f"<u{width}").tobytes()
         part = TaskContext.get().partitionId()
         name = f"{part:06d}-{uuid.uuid4().hex}"
-        store, root = stores.FileSystem.from_uri(folder)
+        store, root = stores.FileSystem.from_uri(arrow_uri(folder))
         at, n_docs, first = 0, 0, None
         out = {}
         for batch in batches:
@@ -142,7 +148,7 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
     """Per document, from the files: doc_id, start, n_tokens and ids_crc32."""
 
     def run(files: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, root = stores.FileSystem.from_uri(folder)
+        store, root = stores.FileSystem.from_uri(arrow_uri(folder))
         for batch in files:
             for file in batch.itertuples():
                 path = f"{root}/{file.name}"

@@ -5,6 +5,7 @@ import random
 import pytest
 
 from tallyferry.llm.bpe_automaton import Automaton, ChunkCoder
+from tallyferry.llm.token_files import arrow_uri
 
 
 def random_merges(rng, letters, n):
@@ -81,3 +82,8 @@ def test_chunk_memory_is_bounded_by_bytes():
         text = f"word{i} " + "x" * (i * 7 % 900)
         assert "".join(coder(text)) == text.upper()
         assert len(coder._young) + len(coder._old) < 80
+
+
+def test_object_stores_go_by_the_name_that_arrow_knows():
+    assert arrow_uri("s3a://bucket/a/b") == "s3://bucket/a/b"
+    assert [arrow_uri(u) for u in ("hdfs://n/a", "/tmp/a", "file:///tmp/a")] == ["hdfs://n/a", "/tmp/a", "file:///tmp/a"]

@@ -441,6 +441,23 @@ def checksum_temporal(spark, sf):
     return _checksum(spark, sf, "temporal", ("lineitem", "orders", "events", "part"))
 
 
+@query("""
+select o_orderpriority, 'temporal' as checksum_class, cast(2 as bigint) as column_count,
+       cast(count(distinct cast(o_orderdate as date)) + count(distinct o_orderdate + interval (o_orderkey % 5) hour) as double) as value,
+       count(*) as row_count
+from orders group by o_orderpriority
+""")
+def checksum_dates(spark, sf):
+    """Distinct days by bitmaps and distinct times by values, per priority."""
+    orders = _read(spark, sf, "orders").select(
+        "o_orderpriority", F.col("o_orderdate").cast("date").alias("day"),
+        F.expr("o_orderdate + make_dt_interval(0, cast(o_orderkey % 5 as int))").alias("stamp"),
+    )
+    return K.checksums(orders, "orders", by=["o_orderpriority"], classes=["temporal"]).select(
+        "o_orderpriority", "checksum_class", "column_count", "value", "row_count"
+    )
+
+
 _WINDOWED = "(select * from lineitem where l_shipdate >= timestamp '1996-01-01' and l_shipdate < timestamp '1997-01-01')"
 
 

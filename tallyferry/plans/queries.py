@@ -36,6 +36,7 @@ from tallyferry.plans.oracle_text import (
 from tallyferry.plans.registry import query
 from tallyferry.session import materialise, scratch_path
 from tallyferry.sources import delimited as T
+from tallyferry.sources import footers as N
 from tallyferry.sources.tables import read_parquet_table
 from tallyferry.specs import Settings, TableSpec, Window
 from tallyferry.streaming.file_batches import load_in_batches
@@ -221,6 +222,22 @@ def list_columns(spark, sf):
     return L.list_columns(_read(spark, sf, "lineitem"))
 
 
+@query("\nunion all\n".join(
+    f"select {i} as position, '{c}' as column_name, '{t}' as data_type, '{k}' as checksum_class, "
+    f"count(*) as row_count, count({c}) as non_null_rows, "
+    f"{'max(' + c + ')' if t in ('bigint', 'int') else 'null'} as largest from lineitem"
+    for i, (c, t, k) in enumerate(_LINE_TYPES, start=1)
+))
+def footer_columns(spark, sf):
+    """The columns of lineitem, with the largest whole numbers, from the file's footer."""
+    path = f"{sf.rstrip('/')}/lineitem.parquet"
+    whole = N.footer_facts(spark, path).join(N.list_columns_by_footers(spark, path).select("column_name", "checksum_class"), "column_name")
+    largest = whole.where("checksum_class = 'number'").select("column_name", F.col("high").alias("largest"))
+    return N.list_columns_by_footers(spark, path).join(largest, "column_name", "left").select(
+        "position", "column_name", "data_type", "checksum_class", "row_count", "non_null_rows", "largest"
+    )
+
+
 @query("select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority as priority from orders")
 def normalize_columns(spark, sf):
     shouted = L.shout_columns(_read(spark, sf, "orders"))

@@ -264,6 +264,46 @@ def test_ngram_join_on_odd_rows(spark, odd, none):
     assert left.columns == odd.columns and sorted(r.doc_id or -1 for r in left.collect()) == [-1, -1, 1, 2, 3, 4, 5, 7]
 
 
+def test_one_per_group_tells_rows_of_one_id_apart(spark, none):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a, 1), (1, b, 2), (1, b.upper(), 3), (2, a + " end", 4), (None, b + " end", 5), (None, c, 6), (None, c, 7), (8, "", 8), (8, "", 9), (None, None, 10)]
+    left = ngram_join.one_per_group(spark.createDataFrame(rows, "doc_id long, text string, _id int")).collect()
+    kept = sorted((r["_id"] for r in left))
+    assert [k for k in kept if k not in (2, 3, 6, 7)] == [1, 8, 9, 10]
+    assert len({2, 3} & set(kept)) == len({6, 7} & set(kept)) == 1 and len(kept) == 6
+    got = ngram_join.linked_components(spark.createDataFrame([(5, a), (5, b), (7, a + " end"), (3, b + " end")], "doc_id long, text string"))
+    assert sorted((r.doc_id, r.component_id) for r in got.collect()) == [(3, 3), (5, 3), (5, 5), (7, 5)]
+    assert ngram_join.one_per_group(none).collect() == []
+
+
+def test_blocks_larger_than_two_chunks_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "CHUNK", 6)
+    random.seed(9)
+    rows = []
+    # Chains, whose ends share little, groups around one text, and strangers beginning alike.
+    for g in range(3):
+        now = [f"g{g}w{i}" for i in range(50)]
+        for _ in range(25):
+            now = [w if random.random() > 0.025 else f"x{random.random()}" for w in now]
+            rows.append((len(rows), " ".join(now)))
+        rows += [(len(rows) + k, " ".join(now[:45] + [f"y{k}z{i}" for i in range(random.choice([2, 5, 30]))])) for k in range(25)]
+    random.shuffle(rows)
+    got = ngram_join.linked_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == _groups(rows, 5, 80)
+
+
+def test_a_trie_leaves_connected_subtrees_out():
+    random.seed(10)
+    base = list(range(100, 160))
+    paths = [np.unique(np.array(random.sample(base, 56) + random.sample(range(100), 4), np.uint64)) for _ in range(400)]
+    sizes = [len(p) for p in paths]
+    links = ngram_join.block_links(list(range(400)), paths, sizes, 80)
+    assert len(links) == len(set(ngram_join.clusters(links))) == 399
+    assert ngram_join.block_links(list(range(400)), paths, sizes, 80, [k % 2 for k in range(400)])[0] and len(
+        ngram_join.block_links(list(range(400)), paths, sizes, 80, [k % 2 for k in range(400)])
+    ) == 1
+
+
 def test_bpe_automaton_equals_the_library(spark, docs, odd, none, library):
     machine = bpe_automaton.automaton(tokenizer_path())
     random.seed(2)

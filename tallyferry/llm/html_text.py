@@ -8,12 +8,15 @@ sidebars, notices, adverts, forms, comments, scripts and styles are cut before.
 an id cuts nothing that holds the article: its paragraphs then earn less instead.
 
 Pages are independent rows, so there is no shuffle; a page is held in memory by itself.
+Time grows with the length of the page, however its markup is broken or nested: open
+elements are found by name, and points go up a fixed number of levels.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -69,6 +72,9 @@ BESIDE_NAMES = {
 }
 #: Share of their points that paragraphs keep below a name that marks furniture but holds the article.
 DOWN = 0.25
+#: Ancestors that a paragraph gives points to.
+LEVELS = 32
+_NO_NAMES: frozenset[str] = frozenset()
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
 _STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "tr": {"table"}, "option": {"select"}}
@@ -77,10 +83,13 @@ _NAME = re.compile(r"[a-z]+|[0-9]+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "parts", "cut", "names", "share", "score", "chars", "linked")
+    __slots__ = ("tag", "parent", "parts", "cut", "names", "share", "score", "chars", "linked", "depth", "block")
 
-    def __init__(self, tag: str, parent: _Node | None, cut: bool, names: set[str] | frozenset[str] = frozenset()):
+    def __init__(self, tag: str, parent: _Node | None, cut: bool, names: frozenset[str] = _NO_NAMES):
         self.tag, self.parent, self.cut, self.names = tag, parent, cut, names
+        self.depth = parent.depth + 1 if parent else 0
+        # The nearest block, itself or around it.
+        self.block: _Node = self if tag in BLOCK or parent is None else parent.block
         self.share = 1.0
         self.parts: list[_Node | str] = []
         self.score = 0.0
@@ -94,11 +103,11 @@ def _furniture(token: str) -> set[str]:
     return found if all(w in NEUTRAL_NAMES or w.isdigit() for w in words - found) else set()
 
 
-def _is_cut(tag: str, attrs: str) -> tuple[bool, set[str]]:
+def _is_cut(tag: str, attrs: str) -> tuple[bool, frozenset[str]]:
     """Whether an element is furniture by its tag, role or style, and the names of its class and id that say so."""
     if tag in CUT:
-        return True, set()
-    names: set[str] = set()
+        return True, _NO_NAMES
+    names = _NO_NAMES
     if not attrs or tag in ("html", "body", "article", "main"):
         return False, names
     for name, *values in _ATTR.findall(attrs):
@@ -120,13 +129,24 @@ def parse(page: str) -> _Node:
     """The tree of a page; broken markup closes what it must."""
     root = _Node("html", None, False)
     node, at, lower = root, 0, None
+    last = page.rfind(">") + 1
+    # The open elements of each name, from the root on.
+    opened: dict[str, list[_Node]] = {}
+
+    def close(outer: _Node) -> _Node:
+        """Closes an open element and all open in it; what is open then."""
+        inner = node
+        while inner is not outer.parent:
+            opened[inner.tag].pop()
+            inner = inner.parent
+        return inner
 
     def text(piece: str) -> None:
         if piece:
             node.parts.append(entities.unescape(piece) if "&" in piece else piece)
 
     while True:
-        found = _MARKUP.search(page, at)
+        found = _MARKUP.search(page, at, last) if at < last else None
         if found is None:
             text(page[at:])
             return root
@@ -136,41 +156,36 @@ def parse(page: str) -> _Node:
         if not tag:
             continue
         if found["end"] or found["end2"]:
-            opened = node
-            while opened is not None and opened.tag != tag:
-                if tag not in BLOCK and opened.tag in BLOCK:
-                    opened = None
-                    break
-                opened = opened.parent
-            if opened is not None and opened.parent is not None:
-                node = opened.parent
+            same = opened.get(tag)
+            # An inline element is not closed from inside a block that it holds.
+            if same and (tag in BLOCK or same[-1].depth > node.block.depth):
+                node = close(same[-1])
             continue
         if tag in RAW:
             lower = page.lower() if lower is None else lower
-            close = lower.find(f"</{tag}", at) if len(lower) == len(page) else page.find(f"</{tag}", at)
-            at = len(page) if close < 0 else close
+            ends = lower.find(f"</{tag}", at) if len(lower) == len(page) else page.find(f"</{tag}", at)
+            at = len(page) if ends < 0 else ends
             continue
         if tag == "br" or tag == "hr":
             node.parts.append("\n")
             continue
         if tag in VOID or tag == "html":
             continue
-        if tag in BLOCK:
-            opened = node
-            while opened.parent is not None and (opened.tag not in BLOCK):
-                opened = opened.parent
-            if opened.tag == "p" and opened.parent is not None:
-                node = opened.parent
+        if tag in BLOCK and node.block.tag == "p":
+            node = close(node.block)
         if tag in _CLOSES:
-            opened = node
-            while opened.parent is not None and opened.tag not in _STOPS[tag]:
-                if opened.tag in _CLOSES[tag]:
-                    node = opened.parent
-                opened = opened.parent
+            stop = max((opened[t][-1].depth for t in _STOPS[tag] if opened.get(t)), default=0)
+            inside = []
+            for t in _CLOSES[tag]:
+                same = opened.get(t, [])
+                inside += same[(k := bisect_right(same, stop, key=lambda n: n.depth)) : k + 1]
+            if inside:
+                node = close(min(inside, key=lambda n: n.depth))
         attrs = found["attrs"] or found["attrs2"] or ""
         child = _Node(tag, node, *_is_cut(tag, attrs))
         node.parts.append(child)
         if not attrs.rstrip().endswith("/") or tag in BLOCK:
+            opened.setdefault(tag, []).append(child)
             node = child
 
 
@@ -274,7 +289,7 @@ def best_nodes(root: _Node) -> list[_Node]:
     """The best container with the siblings that belong to it, in page order."""
     _cut_named(root)
     order = _measure(root)
-    seen = []
+    seen: dict[int, _Node] = {}
     for node in order:
         points = _points(node) * node.share
         if not points:
@@ -282,14 +297,14 @@ def best_nodes(root: _Node) -> list[_Node]:
         node.score += points if node.tag not in ("p", "li") else 0
         above, share = node.parent, 1.0
         level = 1
-        while above is not None:
+        while above is not None and level <= LEVELS:
             above.score += points * share
-            seen.append(above)
+            seen[id(above)] = above
             level += 1
             share = 1 / level if level > 2 else 0.5
             above = above.parent
-        seen.append(node)
-    candidates = {id(n): n for n in seen if n.tag not in ("p", "li", "html")}
+        seen[id(node)] = node
+    candidates = {k: n for k, n in seen.items() if n.tag not in ("p", "li", "html")}
     weights = {"article": 1.5, "main": 1.25}
     value = lambda n: n.score * (1 - _link_density(n)) * weights.get(n.tag, 1.0)
     if not candidates:

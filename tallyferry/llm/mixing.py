@@ -7,7 +7,7 @@ quota vector by multivariate hypergeometric draws, so each shard gets its own
 exact quotas; shards then own disjoint runs of the permuted blocks and order
 their documents locally by a hash.
 
-Only per-source figures reach the driver. Finding a document's shard is an
+Only per-source figures reach the driver, of at most ``MAX_SOURCES`` sources. Finding a document's shard is an
 expression on its own row plus one row per source, so the corpus moves once, to
 its shards. A hot source only has more rows per block; nothing is gathered by
 source but sums.
@@ -28,7 +28,12 @@ SHARE = 1.5
 MAX_REPEATS = 2
 BLOCK_DOCS = 256
 MAX_BLOCKS = 4096
+#: Shards of a small mix; a larger one has one for so many words, and blocks enough for each.
 SHARDS = 16
+WORDS_PER_SHARD = 1 << 24
+BLOCKS_PER_SHARD = 8
+#: More different sources than this are taken for a wrong column.
+MAX_SOURCES = 1_000_000
 #: Orders tried for the one block per source that is taken in part.
 TRIES = 32
 #: Units listed in the broadcast table at most; beyond it the sources are joined by shuffle.
@@ -101,13 +106,15 @@ def plan_mix(
     source_col: str = "source",
     weights: Sequence[float] = WEIGHTS,
     share: float = SHARE,
-    shards: int = SHARDS,
+    shards: int | None = None,
     seed: int = 17,
 ) -> DataFrame:
     """``docs`` as a struct ``row`` with ``size``, ``source_size``, ``target`` and ``draws``.
 
-    ``draws`` lists a (copy, shard) pair for every time the mix takes the
-    document: none, once or twice. Sources by code point, null last, weigh
+    ``draws`` lists copy, unit (the source's block, counted on for the second copy) and shard
+    for every time the mix takes the
+    document: none, once or twice. The number of shards goes by the size of the mix, if it
+    is not given. Sources by code point, null last, weigh
     ``weights`` in turn and share ``share`` times all words; no target is above
     ``MAX_REPEATS`` times its source's words.
 
@@ -116,7 +123,16 @@ def plan_mix(
       rows by a number within their group too. Which of these is drawn is not defined.
     - A source without words has target 0; its documents follow its blocks and add no words.
     - Empty input: an empty result. Extra columns stay inside ``row``.
+    - More than ``MAX_SOURCES`` sources: an error.
     """
+    return _plan(docs, id_col, text_col, source_col, weights, share, shards, seed)[0]
+
+
+def _plan(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = WEIGHTS,
+    share: float = SHARE, shards: int | None = None, seed: int = 17,
+) -> tuple[DataFrame, int]:
+    """What ``plan_mix`` gives, and the number of shards."""
     spark = docs.sparkSession
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
@@ -133,8 +149,11 @@ def plan_mix(
         .agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs"))
     )
     per_source = (
-        sums.groupBy("source").agg(F.sum("words").alias("words"), F.sum("docs").alias("docs")).collect()
+        sums.groupBy("source").agg(F.sum("words").alias("words"), F.sum("docs").alias("docs"))
+        .limit(MAX_SOURCES + 1).collect()
     )
+    if len(per_source) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources in {source_col}")
     # Code points sort as UTF-8 bytes do.
     per_source.sort(key=lambda r: (r.source is None, (r.source or "").encode()))
     sizes = [r.words for r in per_source]
@@ -200,6 +219,8 @@ def plan_mix(
     by_source = {r.source: r for r in reached}
     order = [r.source for r in per_source]
     units = [by_source[s].whole_units + (s in cut) for s in order]
+    if shards is None:
+        shards = max(SHARDS, min(int(sum(targets)) // WORDS_PER_SHARD + 1, sum(units) // BLOCKS_PER_SHARD))
     quotas = split_quotas(units, shards, seed) if order else np.zeros((shards, 0), np.int64)
     final = spark.createDataFrame(
         [
@@ -216,13 +237,13 @@ def plan_mix(
         unit = block + copy * F.col("n_blocks")
         whole = unit < F.col("whole_units")
         part = (unit == F.col("whole_units")) & F.col("turn").isNotNull() & (_place("key", "turn", seed) <= F.col("place"))
-        pair = F.struct(F.lit(copy).alias("copy"), F.get("shard_of", unit).alias("shard"))
+        pair = F.struct(F.lit(copy).alias("copy"), unit.alias("unit"), F.get("shard_of", unit).alias("shard"))
         return F.when(F.coalesce(whole | part, F.lit(False)), pair)
 
     return drawn.select(
         "row", "key", "size", "source_size", "target",
         F.filter(F.array(*[taken(c) for c in range(MAX_REPEATS)]), lambda x: x.isNotNull()).alias("draws"),
-    )
+    ), shards
 
 
 def _told_apart(rows: DataFrame) -> DataFrame:
@@ -266,16 +287,16 @@ def _with_source(rows: DataFrame, table: DataFrame, small: bool) -> DataFrame:
     return rows.join(F.broadcast(there) if small else there, F.expr("source <=> source_")).drop("source_")
 
 
-def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, **options) -> DataFrame:
+def mix(docs: DataFrame, shards: int | None = None, seed: int = 17, **options) -> DataFrame:
     """The mixed corpus: columns of ``docs``, once for each time a document is drawn.
 
-    One partition per shard, in the shard's local random order. See ``plan_mix``
+    Partition k is shard k, in the shard's local random order. See ``plan_mix``
     for the defined cases; columns of ``docs`` named ``shard`` stay as they are.
     """
+    plan, shards = _plan(docs, shards=shards, seed=seed, **options)
     drawn = (
-        plan_mix(docs, shards=shards, seed=seed, **options)
-        .select("row", "key", F.explode("draws").alias("draw"))
+        plan.select("row", "key", F.explode("draws").alias("draw"))
         .select("row", F.col("draw.shard").alias("_shard"), F.xxhash64("key", "draw.copy", F.lit(seed + 2)).alias("_at"))
     )
-    placed = drawn.repartition(shards, "_shard").sortWithinPartitions("_shard", "_at")
+    placed = drawn.repartitionById(shards, F.col("_shard").cast("int")).sortWithinPartitions("_shard", "_at")
     return placed.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -68,12 +68,13 @@ def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query()
 def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
-    """Words that a mix by source weights takes of each document."""
+    """Words that a mix by source weights takes of each document, and the shards that get them."""
     docs = _read(spark, sf, "documents").select("doc_id", "source", "text")
     plan = mixing.plan_mix(docs)
     return plan.select(
         F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target",
         (F.size("draws") * F.col("size")).cast("long").alias("taken"),
+        F.array_join(F.transform("draws", lambda d: d.shard.cast("string")), ",").alias("shards"),
     )
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -114,6 +115,15 @@ def test_held_out_accuracy(spark, name, label, least):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 for r in rows)
 
 
+@pytest.mark.parametrize("piece", ["<b>x", "<b>words, and more<p>", "<div>a paragraph, long enough to count</i>", "<b></i></u>", "<li><b>a<td>", "<a '"])
+def test_time_of_broken_pages_grows_with_their_length(piece):
+    words = "The article, with its commas, and with enough words to earn points. "
+    page = f"<body><article><p>{words * 4}</p></article>" + piece * (5_000_000 // len(piece))
+    start = time.process_time()
+    text = html_text.main_text(page)
+    assert time.process_time() - start < 20 and words.strip() in text
+
+
 @pytest.mark.parametrize("module", [quality_rank, toxicity])
 def test_classifiers_on_odd_rows(spark, odd, none, labels, module):
     for model in (module.fit(odd, labels), module.fit(none, labels.limit(0))):
@@ -160,6 +170,49 @@ def test_splitting_tree_is_exact():
     assert mixing.water_fill(150, [3, 1, 2], [20, 200, 40]) == pytest.approx([20, 90, 40])
 
 
+def test_mix_against_brute_force(spark):
+    random.seed(12)
+    rows = [(i, " ".join("w" * random.randint(1, 3) for _ in range(random.randint(0, 30))), random.choice("aaaaaaabbc")) for i in range(20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    plan = mixing.plan_mix(docs, shards=11).selectExpr("row.doc_id", "size", "source_size", "target", "draws").collect()
+    sizes = {i: len(WORD.findall(text)) for i, text, _ in rows}
+    source = {i: s for i, _, s in rows}
+    per = Counter()
+    for i, s in source.items():
+        per[s] += sizes[i]
+    # Raise the common level of all shares until they use up the total.
+    weight, total, low, high = dict(zip("abc", (3, 1, 2))), 1.5 * sum(per.values()), 0.0, 1e9
+    for _ in range(200):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(2 * per[s], level * weight[s]) for s in per) < total else (low, level)
+    taken, units = Counter(), {}
+    for r in plan:
+        assert (r["size"], r["source_size"]) == (sizes[r.doc_id], per[source[r.doc_id]])
+        assert r.target == pytest.approx(min(2 * r.source_size, low * weight[source[r.doc_id]]), rel=1e-6)
+        assert len(r.draws) <= 2 and len({d.copy for d in r.draws}) == len(r.draws)
+        taken[source[r.doc_id]] += len(r.draws) * r["size"]
+        for d in r.draws:
+            # A block is of one shard whole.
+            assert units.setdefault((source[r.doc_id], d.unit), d.shard) == d.shard
+    for s, n in taken.items():
+        assert abs(n - min(2 * per[s], low * weight[s])) <= 0.001 * n
+    counts = [max(u for t, u in units if t == s) + 1 for s in "abc"]
+    assert sum(counts) == len(units)
+    found = np.zeros((11, 3), int)
+    for (s, _), shard in units.items():
+        found[shard, "abc".index(s)] += 1
+    assert (found == mixing.split_quotas(counts, 11, 17)).all() and np.ptp(found.sum(1)) <= 4
+    # Partition k is shard k.
+    placed = mixing.mix(docs, shards=11).select("doc_id", F.spark_partition_id().alias("p")).collect()
+    assert Counter((r.doc_id, r.p) for r in placed) == Counter((r.doc_id, d.shard) for r in plan for d in r.draws)
+
+
+def test_mix_of_many_sources_is_refused(spark, docs, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 3)
+    with pytest.raises(ValueError, match="sources"):
+        mixing.plan_mix(spark.range(9).selectExpr("id as doc_id", "'a b' as text", "cast(id as string) as source"))
+
+
 def _base(text):
     words = WORD.findall(text or "")
     runs = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]

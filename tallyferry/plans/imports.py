@@ -11,18 +11,27 @@ from tallyferry.operators.maintain import (
 from tallyferry.plans.audit import reconcile_tables
 from tallyferry.session import clear_folder, file_count, path_exists, scratch_path
 from tallyferry.sources.delimited import Loaded, header_of, load_delimited, write_counting_bad
+from tallyferry.sources.traced import Traced, load_traced
 from tallyferry.specs import MissingInput, Settings, TableSpec, TooManyBadRows, Window
 from tallyferry.streaming.file_batches import load_into_target
 
 
 def stage_good_rows(
-    loaded: Loaded, settings: Settings, quarantine: str | None = None
+    loaded: Loaded | Traced, settings: Settings, quarantine: str | None = None
 ) -> DataFrame:
     """Parse the files once into a scratch table while counting the bad rows.
 
     The budget is checked before anything reaches the target. Bad rows, if there
-    are any, are added to the ``quarantine`` folder with the reason.
+    are any, are added to the ``quarantine`` folder with the reason, and with their
+    file and line if they were traced.
     """
+    if isinstance(loaded, Traced):
+        bad = loaded.count_bad()
+        if bad and quarantine:
+            loaded.bad().write.mode("append").parquet(quarantine)
+        if bad > settings.max_bad_rows:
+            raise TooManyBadRows(f"{bad} bad rows, {settings.max_bad_rows} allowed")
+        return loaded.good()
     spark = loaded.rows.sparkSession
     path = scratch_path(spark, "loaded")
     bad = write_counting_bad(loaded, path)
@@ -52,7 +61,8 @@ def import_table(
     run changes nothing; otherwise the rows are appended. More than ``files_per_batch``
     files are loaded that many at a time, and so are any when ``progress`` is given:
     files that this folder knows are not appended again. The budget of bad rows is one
-    batch's then, and its quarantine a folder below ``quarantine``.
+    batch's then, and its quarantine a folder below ``quarantine``. Refused lines are kept
+    there with their file and line number, but for ``multi_line`` files.
     """
     source = f"{files.rstrip('/')}/{spec.name}"
     if not path_exists(spark, source):
@@ -70,9 +80,11 @@ def import_table(
         load_into_target(spark, source, header, schema, path, settings, scratch_path(spark, "progress"), None, quarantine)
         staged = read_target(spark, path, schema)
     else:
-        staged = stage_good_rows(
-            load_delimited(spark, source, schema, settings, multi_line), settings, quarantine
-        )
+        if quarantine and not multi_line:
+            loaded = load_traced(spark, source, schema, settings)
+        else:
+            loaded = load_delimited(spark, source, schema, settings, multi_line)
+        staged = stage_good_rows(loaded, settings, quarantine)
     if replacing:
         replace_window(spark, target, staged, spec.date_col, window)
     else:

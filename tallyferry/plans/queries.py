@@ -37,6 +37,7 @@ from tallyferry.plans.registry import query
 from tallyferry.session import materialise, scratch_path
 from tallyferry.sources import delimited as T
 from tallyferry.sources import footers as N
+from tallyferry.sources import traced as E
 from tallyferry.sources.tables import read_parquet_table
 from tallyferry.specs import Settings, TableSpec, Window
 from tallyferry.streaming.file_batches import load_in_batches
@@ -559,19 +560,31 @@ def load_by_header(spark, sf):
 
 
 def _spoiled_orders(spark, sf) -> T.Loaded:
-    """Orders as raw lines: key % 97 = 0 has a field too many, key % 89 = 0 no number as price."""
     orders, path = _read(spark, sf, "orders"), scratch_path(spark, "spoiled")
+    _spoil(orders, path)
+    return T.load_delimited(spark, path, orders.schema, PLAIN)
+
+
+def _spoil(orders, path, part=None) -> None:
+    """Orders as raw lines: key % 97 = 0 has a field too many, key % 89 = 0 no number as price.
+
+    With ``part``, one file for each of its values, in key order.
+    """
     text = T.as_text(orders)
     price = F.when(F.col("o_orderkey").cast("bigint") % 89 == 0, "n/a").otherwise(F.col("o_totalprice"))
     cells = text.withColumn("o_totalprice", price)
     line = F.concat_ws("\t", *orders.columns)
     spoiled = F.when(F.col("o_orderkey").cast("bigint") % 97 == 0, F.concat(line, F.lit("\textra")))
     header = "\t".join(orders.columns)
-    cells.select(F.coalesce(spoiled, line).alias(header)).write.options(
+    lines = cells.select(F.coalesce(spoiled, line).alias(header))
+    if part is not None:
+        keyed = cells.select(F.coalesce(spoiled, line).alias(header), part.alias("part"), F.col("o_orderkey").cast("bigint").alias("at"))
+        lines = keyed.repartition("part").sortWithinPartitions("part", "at").drop("at")
+    writer = lines.write.partitionBy("part") if part is not None else lines.write
+    writer.options(
         header="true", sep="\u0001", quote="\u0002", lineSep="\n",
         ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
     ).csv(path)
-    return T.load_delimited(spark, path, orders.schema, PLAIN)
 
 
 @query("\nunion all\n".join(
@@ -609,6 +622,22 @@ def load_quarantine(spark, sf):
     return bad.groupBy("bad_reason").agg(F.count("bad_line").alias("bad_rows"))
 
 
+@query("""
+select case when o_orderkey % 97 = 0 then 'malformed line' else 'not of its type: o_totalprice' end as bad_reason,
+       cast(part as bigint) as part, cast(line as bigint) as line, o_orderkey
+from (select *, o_orderkey % 8 as part, 1 + row_number() over (partition by o_orderkey % 8 order by o_orderkey) as line from orders)
+where o_orderkey % 97 = 0 or o_orderkey % 89 = 0
+""")
+def load_traced_rows(spark, sf):
+    """The spoiled lines of eight files, each by its file and line."""
+    orders, path = _read(spark, sf, "orders"), scratch_path(spark, "spoiled")
+    _spoil(orders, path, F.col("o_orderkey").cast("bigint") % 8)
+    bad = E.load_traced(spark, path, orders.schema, PLAIN).bad()
+    key = F.split("bad_line", "\t")[orders.columns.index("o_orderkey")].cast(orders.schema["o_orderkey"].dataType)
+    part = F.regexp_extract("bad_file", r"part=(\d+)", 1).cast("bigint")
+    return bad.select("bad_reason", part.alias("part"), F.col("bad_line_number").alias("line"), key.alias("o_orderkey"))
+
+
 @query("select * from orders")
 def load_file_batches(spark, sf):
     orders = _read(spark, sf, "orders")

@@ -134,6 +134,7 @@ def conform(
     separator: str = "\t",
     load_time_col: str | None = None,
     escaped: bool = False,
+    carried: tuple[str, ...] = (),
 ) -> Loaded:
     """Type text rows to the target schema, by name and without case.
 
@@ -141,8 +142,9 @@ def conform(
     does a malformed line. NUL characters are removed first; line breaks come back
     if they are ``escaped``. Target columns that the files lack become NULL, or make
     every row bad if they may not be NULL; ``load_time_col`` then gets the time of the load, as a column default would.
+    Columns of ``text`` named in ``carried`` are no cells; they stay beside the row.
     """
-    cells = [c for c in text.columns if c != RAW]
+    cells = [c for c in text.columns if c != RAW and c not in carried]
     clean = scrub_nul(text)
     found = {c.lower(): c for c in cells}
     typed, misfits, absent = [], [], []
@@ -172,7 +174,7 @@ def conform(
     joined = F.concat_ws(
         separator, *[F.coalesce(F.col(quoted(c)), F.lit("")) for c in cells]
     )
-    rows = clean.select(*typed, reason.alias(REASON), F.coalesce(raw, joined).alias(LINE))
+    rows = clean.select(*typed, *carried, reason.alias(REASON), F.coalesce(raw, joined).alias(LINE))
     return Loaded(rows, schema)
 
 

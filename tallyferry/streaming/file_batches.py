@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tallyferry.operators.maintain import has_data, is_by_day, publish_files, write_days
 from tallyferry.session import child_names, clear_folder, path_exists, scratch_path
 from tallyferry.sources.delimited import RAW, Loaded, conform, parse_options, write_counting_bad
+from tallyferry.sources.traced import Traced, lines_below, stage_traced
 from tallyferry.specs import MissingInput, Settings, TooManyBadRows
 
 BATCH = "load_batch"
@@ -46,26 +47,29 @@ def run_batches(
     schema: T.StructType,
     settings: Settings,
     progress: str,
-    commit: Callable[[Loaded, int], None],
+    commit: Callable[[Loaded | Traced, int], None],
+    traced: bool = False,
 ) -> None:
     """Give the files that ``progress`` does not know to ``commit``, some at a time, with the batch's number.
 
     A batch that did not end is given again with the same files and the same number.
+    With ``traced``, bad rows know their file and line.
     """
     if not path_exists(spark, path):
         raise MissingInput(f"no files to load: {path} does not exist")
     text = T.StructType(
         [T.StructField(n, T.StringType()) for n in header] + [T.StructField(RAW, T.StringType())]
     )
-    stream = (
-        spark.readStream.schema(text)
-        .options(**parse_options(settings))
-        .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", settings.files_per_batch)
-        .csv(path)
-    )
+    reader = spark.readStream.option("maxFilesPerTrigger", settings.files_per_batch)
+    if traced:
+        stream = lines_below(reader, path)
+    else:
+        stream = reader.schema(text).options(**parse_options(settings)).option("recursiveFileLookup", "true").csv(path)
 
     def write_batch(batch: DataFrame, number: int) -> None:
+        if traced:
+            commit(stage_traced(batch, header, schema, settings), number)
+            return
         commit(conform(batch, schema, settings.separator, escaped=settings.escape_breaks), number)
 
     query = (
@@ -110,14 +114,17 @@ def load_into_target(
     stream = hashlib.md5(progress.rstrip("/").encode()).hexdigest()[:12]
     by_day = date_col is not None and (is_by_day(spark, target) or not has_data(spark, target))
 
-    def commit(loaded: Loaded, number: int) -> None:
+    def commit(loaded: Loaded | Traced, number: int) -> None:
         name = f"batch-{stream}-{number}"
         stored, shaped = scratch_path(spark, "batch"), scratch_path(spark, "batch-files")
-        if quarantine:
-            bad = loaded.bad()
-            bad.write.mode("overwrite").parquet(f"{quarantine}/{name}")
-        store_batch(loaded, stored, settings)
-        rows = spark.read.schema(schema).parquet(stored)
+        if isinstance(loaded, Traced):
+            loaded.bad().write.mode("overwrite").parquet(f"{quarantine}/{name}")
+            if (bad := loaded.count_bad()) > settings.max_bad_rows:
+                raise TooManyBadRows(f"{bad} bad rows, {settings.max_bad_rows} allowed, in {name}")
+            rows = loaded.good()
+        else:
+            store_batch(loaded, stored, settings)
+            rows = spark.read.schema(schema).parquet(stored)
         if by_day:
             write_days(rows, shaped, date_col)
         else:
@@ -125,4 +132,4 @@ def load_into_target(
         publish_files(spark, shaped, target, name)
         clear_folder(spark, stored)
 
-    run_batches(spark, path, header, schema, settings, progress, commit)
+    run_batches(spark, path, header, schema, settings, progress, commit, traced=quarantine is not None)

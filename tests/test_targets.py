@@ -227,7 +227,9 @@ def test_bad_row_budget_protects_the_target(spark, tmp_path):
         settings=Settings(max_bad_rows=4), quarantine=refused,
     )
     assert loaded.count() == 46
-    assert values(spark.read.parquet(refused))[0] == ("not of its type: x", "0\tbad")
+    bad = spark.read.parquet(refused)
+    assert values(bad.select("bad_reason", "bad_line"))[0] == ("not of its type: x", "0\tbad")
+    assert sorted(r["bad_line_number"] for r in bad.collect()) == [2, 3, 4, 5]
 
 
 def test_backfill_is_idempotent_over_any_sub_range(spark, table, tmp_path):

@@ -74,8 +74,11 @@ def schema_diff(source: DataFrame, target: DataFrame) -> DataFrame:
     ``status`` is ``same``, ``type_differs``, ``source_only`` or
     ``target_only``; names that repeat are matched by occurrence.
     """
-    left = _described(source, "source")
-    right = _described(target, "target")
+    return side_by_side(_described(source, "source"), _described(target, "target"))
+
+
+def side_by_side(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``schema_diff`` of two descriptions: ``column_name``, ``occurrence``, ``<side>_type``, ``<side>_non_null``."""
     joined = left.join(right, ["column_name", "occurrence"], "full_outer")
     status = (
         F.when(F.col("target_type").isNull(), "source_only")

@@ -239,13 +239,19 @@ def footer_columns(spark, sf):
     )
 
 
+@query("\nunion all\n".join(f"select '{t}' as table_name, count(*) as row_count from {t}" for t in TABLES))
+def footer_counts(spark, sf):
+    """Rows of every table, by its footers."""
+    return _union(N.table_counts_by_footers(spark, f"{sf.rstrip('/')}/{t}.parquet", t) for t in TABLES)
+
+
 @query("select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority as priority from orders")
 def normalize_columns(spark, sf):
     shouted = L.shout_columns(_read(spark, sf, "orders"))
     return L.normalize_columns(shouted, {"o_orderpriority": "priority"})
 
 
-@query("""
+_SCHEMA_DIFF = """
 with c as (select count(o_orderkey) k, count(o_custkey) cu, count(o_orderstatus) s, count(o_totalprice) p,
   count(o_orderdate) d, count(o_orderpriority) r,
   count(case when o_orderkey % 10 <> 0 then o_orderdate end) dd from orders)
@@ -257,15 +263,30 @@ union all select 'o_totalprice', 'double', 'decimal(15,2)', p, p, 'type_differs'
 union all select 'o_orderdate', 'timestamp_ntz', 'timestamp_ntz', d, dd, 'same' from c
 union all select 'o_orderpriority', 'string', null, r, null, 'source_only' from c
 union all select 'o_client', null, 'bigint', null, cu, 'target_only' from c
-""")
-def schema_diff(spark, sf):
-    orders = _read(spark, sf, "orders")
-    target = orders.select(
+"""
+
+
+def _other_orders(orders):
+    """A copy of orders with other names, types and NULLs."""
+    return orders.select(
         F.col("o_totalprice").cast("decimal(15,2)").alias("O_TOTALPRICE"),
         F.col("o_orderkey").alias("O_ORDERKEY"), F.col("o_custkey").alias("O_CLIENT"),
         "o_orderstatus", F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderdate")).alias("o_orderdate"),
     )
-    return L.schema_diff(orders, target)
+
+
+@query(_SCHEMA_DIFF)
+def schema_diff(spark, sf):
+    orders = _read(spark, sf, "orders")
+    return L.schema_diff(orders, _other_orders(orders))
+
+
+@query(_SCHEMA_DIFF)
+def footer_schema_diff(spark, sf):
+    """The same of two stored tables, by their footers."""
+    path = scratch_path(spark, "other-orders")
+    _other_orders(_read(spark, sf, "orders")).write.parquet(path)
+    return N.schema_diff_by_footers(spark, f"{sf.rstrip('/')}/orders.parquet", path)
 
 
 @query("""

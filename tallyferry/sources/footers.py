@@ -2,6 +2,7 @@
 
 The footers are read in parallel, one small row per file and column. Where a file
 keeps no null count for a column (nested types, some writers), that column alone is scanned.
+Stores that Arrow cannot open are read by Spark's own aggregates over footers.
 """
 
 from __future__ import annotations
@@ -10,15 +11,21 @@ from collections.abc import Iterator
 from datetime import date, datetime, timedelta, timezone
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyferry.functions.text import quoted
-from tallyferry.operators.columns import checksum_class
+from tallyferry.operators.columns import checksum_class, side_by_side
 
 #: Files whose footers one task reads.
 FILES_PER_TASK = 64
+#: Schemes that Arrow opens by itself; all others go through Spark's reader.
+ARROW_SCHEMES = ("file", "s3", "s3a", "s3n", "gs")
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+_FACTS = "column_name string, row_count long, non_null_rows long, low long, high long"
 _FOOTER = "column_name string, n_rows long, nulls long, low long, high long"
 
 
@@ -42,6 +49,8 @@ def _footer_rows(uri: str) -> Iterator[tuple]:
     store, path = fs.FileSystem.from_uri(f"s3://{place}" if mark and kind in ("s3a", "s3n") else uri)
     with store.open_input_file(path) as file:
         footer = parquet.read_metadata(file)
+    # The file itself: a column that other files lack still belongs to all rows.
+    yield None, footer.num_rows, 0, None, None
     for c in range(footer.num_columns):
         leaf = footer.schema.column(c)
         # A leaf below a list or struct says nothing about NULLs of the column itself.
@@ -64,6 +73,8 @@ def footer_facts(spark: SparkSession, path: str) -> DataFrame:
     Bounds are the ``ordinal`` of whole numbers, dates and times. A table of no files has no rows here.
     """
     files = spark.read.parquet(path).inputFiles()
+    if any(f.partition(":")[0] not in ARROW_SCHEMES for f in files):
+        return _facts_by_pushdown(spark, path)
     tasks = max(1, -(-len(files) // FILES_PER_TASK))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -79,11 +90,50 @@ def footer_facts(spark: SparkSession, path: str) -> DataFrame:
     untold = F.max(F.col("nulls").isNull())
     # Files that hold only NULLs have no bounds and need none.
     unbounded = F.max(F.col("low").isNull() & ~F.col("nulls").eqNullSafe(F.col("n_rows")))
-    return leaves.groupBy("column_name").agg(
-        F.sum("n_rows").alias("row_count"),
+    facts = leaves.groupBy("column_name").agg(
+        F.sum("n_rows").alias("n_rows"),
         F.when(~untold, F.sum(F.col("n_rows") - F.col("nulls"))).alias("non_null_rows"),
         F.when(~unbounded, F.min("low")).alias("low"), F.when(~unbounded, F.max("high")).alias("high"),
     )
+    # As many rows as the table has columns, so one window over them is small.
+    whole = F.max(F.when(F.col("column_name").isNull(), F.col("n_rows"))).over(Window.partitionBy(F.lit(0)))
+    counted = facts.withColumn("row_count", whole).where(F.col("column_name").isNotNull())
+    return counted.select("column_name", "row_count", "non_null_rows", "low", "high")
+
+
+def _facts_by_pushdown(spark: SparkSession, path: str) -> DataFrame:
+    """``footer_facts`` by aggregates that Spark answers from footers, on any store it can read.
+
+    Only whole numbers and dates have bounds here. The settings it needs hold in a
+    session of its own. What the footers of some file do not tell is untold.
+    """
+    side = spark.newSession()
+    side.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    listed = [s for s in side.conf.get("spark.sql.sources.useV1SourceList").split(",") if s != "parquet"]
+    side.conf.set("spark.sql.sources.useV1SourceList", ",".join(listed))
+    df = side.read.parquet(path)
+
+    def told(*aggregates: Column) -> Row | None:
+        try:
+            return df.agg(*aggregates).first()
+        except Py4JJavaError as error:
+            if "spark.sql.parquet.aggregatePushdown" not in str(error):
+                raise
+            return None  # a file keeps no such statistics
+
+    def ends(name: str) -> list[Column]:
+        return [F.min(quoted(name)).alias(f"low {name}"), F.max(quoted(name)).alias(f"high {name}")]
+
+    flat = [f.name for f in df.schema.fields if not isinstance(f.dataType, _NESTED)]
+    total = told(F.count(F.lit(1)))[0]
+    filled = dict(zip(flat, told(*[F.count(quoted(c)) for c in flat]) or [None] * len(flat))) if flat else {}
+    bounded = [f.name for f in df.schema.fields if isinstance(f.dataType, (*_WHOLE, T.DateType)) and filled[f.name]]
+    # All at once, or one by one where a file of NULLs only has no bounds for some column.
+    at_once = told(*[e for c in bounded for e in ends(c)]) if bounded else None
+    bounds = [at_once] if at_once else [told(*ends(c)) for c in bounded]
+    found = {key: _ordinal(value) for row in bounds if row for key, value in row.asDict().items()}
+    facts = [(c, total, filled.get(c), found.get(f"low {c}"), found.get(f"high {c}")) for c in df.columns]
+    return spark.createDataFrame(facts, _FACTS)
 
 
 def list_columns_by_footers(spark: SparkSession, path: str) -> DataFrame:
@@ -106,8 +156,27 @@ def list_columns_by_footers(spark: SparkSession, path: str) -> DataFrame:
 def max_key_by_footers(spark: SparkSession, path: str, key: str) -> DataFrame:
     """``max_key`` of a whole-number column, by the footers; by a scan where they do not tell."""
     df = spark.read.parquet(path)
-    if isinstance(df.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+    if isinstance(df.schema[key].dataType, _WHOLE):
         found = footer_facts(spark, path).where(F.col("column_name") == key).first()
         if found is not None and found["high"] is not None:
             return spark.range(1).select(F.lit(found["high"]).cast(df.schema[key].dataType).alias("max_key"))
     return df.agg(F.max(key).alias("max_key"))
+
+
+def table_counts_by_footers(spark: SparkSession, path: str, table_name: str) -> DataFrame:
+    """``operators.checksum.table_counts`` of a Parquet table; no data page is read."""
+    found = footer_facts(spark, path).agg(F.coalesce(F.max("row_count"), F.lit(0).cast("long")).alias("row_count"))
+    return found.select(F.lit(table_name).alias("table_name"), "row_count")
+
+
+def schema_diff_by_footers(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """``operators.columns.schema_diff`` of two Parquet tables, given by their paths."""
+    return side_by_side(_described(spark, source, "source"), _described(spark, target, "target"))
+
+
+def _described(spark: SparkSession, path: str, side: str) -> DataFrame:
+    same_name = Window.partitionBy(F.lower("column_name")).orderBy("position")
+    return list_columns_by_footers(spark, path).select(
+        F.lower("column_name").alias("column_name"), F.row_number().over(same_name).alias("occurrence"),
+        F.col("data_type").alias(f"{side}_type"), F.col("non_null_rows").alias(f"{side}_non_null"),
+    )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,16 +100,11 @@ def assign_chunks(df: DataFrame, plan: ChunkPlan, name: str = "chunk_id") -> Dat
         literals = [F.lit(c).cast(dtype) for c in plan.cuts]
         number = halving_case(key, literals, 0, len(literals))
     else:
-        number = search_cuts(plan.ordinals)(_without_null(ordinal(df, plan.key), plan.ordinals[0]))
+        number = search_cuts(ordinal(df, plan.key), plan.ordinals)
     chunk = F.when(key.isNull(), F.lit(NULL_CHUNK)).otherwise(number)
     return df.withColumn(name, chunk.cast("int"))
 
 
-def _without_null(value: Column, stand_in: object) -> Column:
-    # NULL would turn integer batches into floats; those rows get chunk -1 anyway.
-    return F.coalesce(value, F.lit(stand_in))
-
-
 def spread_by_chunk(
     df: DataFrame, plan: ChunkPlan, tasks_per_chunk: int = 1, name: str = "chunk_id"
 ) -> DataFrame:

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,9 +51,12 @@ def split_keys(keys: DataFrame, rows: int, wanted: int) -> list:
     if wanted < 1:
         return []
     sample = keys.sample(min(1.0, wanted * SAMPLED_EACH / rows), seed=17) if rows > wanted * SAMPLED_EACH else keys
-    seen = [r[0] for r in sample.select(_ORD).orderBy(_ORD).limit(4 * wanted * SAMPLED_EACH).collect()]
-    count = min(wanted, len(seen))
-    return list(dict.fromkeys(seen[len(seen) * (2 * i + 1) // (2 * count)] for i in range(count)))
+    # As Arrow columns: a distributed sort with a limit would send rows of many times this size.
+    seen = sample.select(_ORD).toArrow()
+    count, size = min(wanted, seen.num_rows), seen.num_rows
+    order = pc.sort_indices(seen, sort_keys=[(_ORD, "ascending")])
+    picked = seen.column(_ORD).take(order.take(pa.array([size * (2 * i + 1) // (2 * count) for i in range(count)], pa.int64())))
+    return list(dict.fromkeys(picked.to_pylist()))
 
 
 def _counted(keys: DataFrame, splits: list) -> list:
@@ -64,7 +69,8 @@ def _counted(keys: DataFrame, splits: list) -> list:
 def _placed(keys: DataFrame, splits: list) -> DataFrame:
     if not splits:
         return keys.withColumn(_PART, F.lit(0)).withColumn(_AT, F.lit(False))
-    return keys.withColumn(_PART, between_cuts(F.col(_ORD), splits)).withColumn(_AT, is_cut(F.col(_ORD), splits))
+    placed = keys.withColumn(_PART, between_cuts(F.col(_ORD), splits))
+    return placed.withColumn(_AT, is_cut(F.col(_ORD), splits, F.col(_PART)))
 
 
 def key_at(df: DataFrame, key: str, position: int, descending: bool = False, bracket_rows: int | None = None) -> Found | None:
@@ -115,7 +121,9 @@ def keys_at_multiples(df: DataFrame, key: str, step: int) -> tuple[DataFrame, in
             offsets.append((part[_PART], part[_AT], before))
         before += part["n"]
     # Two rows per split at most.
-    wanted = df.sparkSession.createDataFrame(offsets, f"{_PART} int, {_AT} boolean, before long")
+    shape = pa.schema([(_PART, pa.int32()), (_AT, pa.bool_()), ("before", pa.int64())])
+    columns = [[row[i] for row in offsets] for i in range(3)]
+    wanted = df.sparkSession.createDataFrame(pa.table(columns, schema=shape))
     inside = _placed(keys, splits).join(F.broadcast(wanted), [_PART, _AT])
     counts = inside.groupBy(_PART, _AT, "before", _KEY, _ORD).agg(F.count(F.lit(1)).alias("n"))
     spans = _spans(counts, Window.partitionBy(_PART, _AT).orderBy(_ORD), F.col("before"))

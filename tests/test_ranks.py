@@ -1,11 +1,17 @@
 """Positions found without sorting: brute force over small brackets, hot keys and all types."""
 
+from bisect import bisect_right
+from decimal import Decimal
+
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 from test_chunking import KEYS
 from test_ordering import skewed
 
 from tallyferry.functions.scalars import ordinal_literal
+from tallyferry.operators import chunking as C
+from tallyferry.operators import intervals as I
 from tallyferry.operators import ordering as O
 from tallyferry.operators import ranks as K
 
@@ -77,3 +83,29 @@ def test_repeated_hour_of_a_summer_time_zone(spark):
             assert df.where(F.col("t") >= ordinal_literal(df, "t", found.ordinal)).count() == rows
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+MANY = {
+    "bigint": [i * 3 - 400 for i in range(300)] + [2**62],
+    "double": [float("-inf"), *(i / 7 for i in range(-200, 200)), float("inf")],
+    "decimal(12,3)": [Decimal(i) / 8 for i in range(-150, 150)],
+    "string": ["", "\x01", "a,b", "a|b", *(f"key-{i:03d}" for i in range(200)), "zé", "{c}", "\U0001f600"],
+}
+
+
+@pytest.mark.parametrize("dtype", sorted(MANY))
+def test_many_cuts_are_searched_without_python_workers(spark, dtype):
+    cuts = MANY[dtype][::2]
+    df = spark.createDataFrame([(v,) for v in MANY[dtype]], f"v {dtype}")
+    placed = df.withColumn("p", I.between_cuts(F.col("v"), cuts)).withColumn("c", I.is_cut(F.col("v"), cuts, F.col("p")))
+    # Above 64 cuts each executor ran two Python workers a task before.
+    assert "EvalPython" not in plan_of(placed)
+    assert [tuple(r) for r in placed.collect()] == [(v, bisect_right(cuts, v), v in cuts) for v in MANY[dtype]]
+
+
+def test_boundaries_and_chunks_start_no_python_workers(spark, monkeypatch):
+    monkeypatch.setattr(K, "BRACKET_ROWS", 100)
+    df = spark.range(0, 5000, 1, 4).selectExpr("id * 7919 % 5003 as k")
+    assert "Python" not in plan_of(C.chunk_boundaries(df, "k", 40))
+    plan = C.plan_chunks(df, "k", 40)
+    assert plan.chunks > I.CASE_CUTS and "Python" not in plan_of(C.assign_chunks(df, plan))

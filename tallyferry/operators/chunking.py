@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyferry.functions.scalars import ordinal
-from tallyferry.operators.intervals import CASE_CUTS, halving_case, search_cuts
+from tallyferry.operators.intervals import CASE_CUTS, constant_array, halving_case, search_cuts
 from tallyferry.operators.ranks import keys_at_multiples
+from tallyferry.session import estimated_bytes
 from tallyferry.specs import Settings
 
 NULL_CHUNK = -1
@@ -23,6 +24,8 @@ NULL_CHUNK = -1
 MAX_CHUNKS = 1_000_000
 # More shuffle tasks than this cost more than they spread.
 MAX_TASKS = 100_000
+# Stored size that one writing task gets at most, if chunks are no larger.
+TASK_MB = 16
 _CASE_CUTS = CASE_CUTS
 
 
@@ -108,20 +111,33 @@ def assign_chunks(df: DataFrame, plan: ChunkPlan, name: str = "chunk_id") -> Dat
 def spread_by_chunk(
     df: DataFrame, plan: ChunkPlan, tasks_per_chunk: int = 1, name: str = "chunk_id"
 ) -> DataFrame:
-    """Shuffle so that a chunk is the work of ``tasks_per_chunk`` tasks, and an
-    oversized chunk that of as many more as it is larger.
+    """Shuffle so that a chunk is the work of up to ``tasks_per_chunk`` tasks, and an
+    oversized chunk that of as many more as it is larger; small chunks share a task.
 
     The rows of one chunk are told apart by the task that read them, which stays
     the same when a task runs again.
     """
     slots = F.lit(tasks_per_chunk)
-    wide = {c: n * tasks_per_chunk for c, n in plan.splits.items() if n > 1}
-    if wide:
-        sizes = F.create_map(*[F.lit(x) for pair in sorted(wide.items()) for x in pair])
-        slots = F.coalesce(F.try_element_at(sizes, F.col(name)), slots)
+    if any(n > 1 for n in plan.splits.values()):
+        wide = [max(1, plan.splits.get(c, 1)) * tasks_per_chunk for c in range(NULL_CHUNK, plan.chunks)]
+        # Looked up by position: a map is searched entry by entry for every row.
+        slots = F.coalesce(F.get(constant_array(wide), F.col(name) - NULL_CHUNK).cast("int"), slots)
     tagged = df.withColumn("__slot", F.pmod(F.hash(F.spark_partition_id()), slots))
-    tasks = plan.chunks * tasks_per_chunk + sum(wide.values())
-    return tagged.repartition(min(tasks, MAX_TASKS), name, "__slot").drop("__slot")
+    # Repeated cuts leave empty chunks, so the slots of all are about this many.
+    tasks = min((plan.chunks + 1) * tasks_per_chunk + plan.splits.get(NULL_CHUNK, 0) * tasks_per_chunk, MAX_TASKS)
+    return tagged.repartition(min(tasks, _tasks_by_size(df) or tasks), name, "__slot").drop("__slot")
+
+
+def _tasks_by_size(df: DataFrame) -> int | None:
+    """Tasks for the size of the tables read, the session's number at least; None when no size is known.
+
+    One task per chunk would be one per few rows when chunks are small, and each task's
+    report goes to the driver.
+    """
+    known = estimated_bytes(df)
+    if known is None:
+        return None
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known // (TASK_MB << 20)))
 
 
 def range_predicates(plan: ChunkPlan, dtype: T.DataType) -> list[str]:

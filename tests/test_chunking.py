@@ -83,3 +83,23 @@ def test_too_many_chunks_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(C, "MAX_CHUNKS", 5)
     with pytest.raises(ValueError, match="raise the chunk size"):
         C.plan_chunks(skewed(spark, 300), "k", 10)
+
+
+def test_small_chunks_share_writing_tasks(spark, table):
+    orders = table("orders")
+    plan = C.plan_chunks(orders, "o_orderkey", 10)
+    assert plan.chunks > 100
+    spread = C.spread_by_chunk(C.assign_chunks(orders, plan), plan)
+    # One task for each chunk before; every task's report goes to the driver.
+    assert spread.rdd.getNumPartitions() == 4
+    assert values(spread.drop("chunk_id")) == values(orders)
+
+
+def test_oversized_chunk_has_its_slots_by_position(spark):
+    df = skewed(spark, 6000)
+    plan = C.plan_chunks(df, "k", 200)
+    # A table of unknown size keeps a task for each slot.
+    parts = C.spread_by_chunk(C.assign_chunks(df.repartition(8), plan), plan).withColumn("task", F.spark_partition_id())
+    hot = max(plan.splits, key=plan.splits.get)
+    tasks = {r["chunk_id"]: r["n"] for r in parts.groupBy("chunk_id").agg(F.count_distinct("task").alias("n")).collect()}
+    assert tasks[hot] > 2 and all(n == 1 for c, n in tasks.items() if plan.splits.get(c, 1) <= 1)

@@ -79,15 +79,17 @@ def read_delimited(
     settings: Settings,
     columns: list[str] | None = None,
     multi_line: bool = False,
+    checked: bool = True,
 ) -> DataFrame:
     """All cells as text under the header's names, and the raw line of malformed rows
     in ``RAW``.
 
     Files whose header differs from ``columns`` (default: the first file's) fail
     the read rather than being bound by position. Stray quotes inside a cell stay.
+    ``checked=False`` leaves out the look for the path.
     """
     first = path if isinstance(path, str) else path[0]
-    if not path_exists(spark, first):
+    if checked and not path_exists(spark, first):
         raise MissingInput(f"no files to load: {first} does not exist")
     names = columns or header_of(spark, first, settings, multi_line)
     schema = T.StructType(
@@ -120,12 +122,12 @@ class Loaded:
     rows: DataFrame
     schema: T.StructType
 
-    def good(self) -> DataFrame:
-        return self.rows.where(F.col(REASON).isNull()).select(*[quoted(n) for n in self.schema.names])
+    def good(self, *carried: str) -> DataFrame:
+        return self.rows.where(F.col(REASON).isNull()).select(*[quoted(n) for n in self.schema.names], *carried)
 
-    def bad(self) -> DataFrame:
+    def bad(self, *carried: str) -> DataFrame:
         """The quarantine: why a line was refused, and the line."""
-        return self.rows.where(F.col(REASON).isNotNull()).select(REASON, LINE)
+        return self.rows.where(F.col(REASON).isNotNull()).select(REASON, LINE, *carried)
 
 
 def conform(
@@ -191,14 +193,20 @@ def load_delimited(
     return conform(text, schema, settings.separator, load_time_col, settings.escape_breaks)
 
 
-def write_counting_bad(loaded: Loaded, path: str) -> int:
-    """Write the good rows to ``path`` and return how many bad ones were met, in one pass."""
+def write_counting_bad(loaded: Loaded, path: str, by: str | None = None) -> int:
+    """Write the good rows to ``path`` and return how many bad ones were met, in one pass.
+
+    With the carried column ``by`` they are added to ``path``, in a folder for each of its values.
+    """
     seen = Observation()
     # Columns are not pruned through the count, so the line is left out before it.
-    watched = loaded.rows.drop(LINE).observe(
+    watched = Loaded(loaded.rows.drop(LINE).observe(
         seen, F.count_if(F.col(REASON).isNotNull()).alias("bad")
-    )
-    Loaded(watched, loaded.schema).good().write.mode("overwrite").parquet(path)
+    ), loaded.schema)
+    if by is None:
+        watched.good().write.mode("overwrite").parquet(path)
+    else:
+        watched.good(by).write.mode("append").partitionBy(by).parquet(path)
     return seen.get["bad"]
 
 

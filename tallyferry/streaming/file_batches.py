@@ -3,18 +3,26 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyferry.operators.intervals import between_cuts
 from tallyferry.operators.maintain import has_data, is_by_day, publish_files, write_days
 from tallyferry.session import child_names, clear_folder, path_exists, scratch_path
-from tallyferry.sources.delimited import RAW, Loaded, conform, parse_options, write_counting_bad
+from tallyferry.sources.delimited import RAW, Loaded, conform, parse_options, read_delimited, write_counting_bad
 from tallyferry.sources.traced import Traced, lines_below, stage_traced
 from tallyferry.specs import MissingInput, Settings, TooManyBadRows
 
 BATCH = "load_batch"
+#: What Spark tells about a file; its content is not read unless asked for.
+FILE = "path string, modificationTime timestamp, length bigint, content binary"
+#: Batches that one trigger of the file stream takes, as its cost hardly depends on the files.
+#: Folder numbers are multiples of it, so it must not change while progress folders are in use.
+WAVE = 64
 
 
 def load_in_batches(
@@ -28,15 +36,26 @@ def load_in_batches(
 ) -> int:
     """Load every file below ``path``, ``files_per_batch`` at a time; returns the batches run.
 
-    ``header`` names the columns in file order. Each batch writes a folder of its
+    ``header`` names the columns in file order. Each batch has a folder of its
     own (``load_batch=N``), so a batch that runs again after a failure replaces
-    what it wrote. ``progress`` keeps the stream's checkpoint: given again, only
+    what it wrote. Up to ``WAVE`` batches are written by one job; numbers follow the order of
+    batches and may leave gaps. ``progress`` keeps the stream's checkpoint: given again, only
     files that are new since then are loaded.
     """
-    run_batches(
-        spark, path, header, schema, settings, progress or scratch_path(spark, "progress"),
-        lambda loaded, number: store_batch(loaded, f"{target}/{BATCH}={number}", settings),
-    )
+    if not path_exists(spark, path):
+        raise MissingInput(f"no files to load: {path} does not exist")
+    # The stream knows files by name only; a wave's files are read by one job.
+    reader = spark.readStream.option("maxFilesPerTrigger", settings.files_per_batch * WAVE)
+    names = reader.schema(FILE).format("binaryFile").option("recursiveFileLookup", "true").load(path)
+
+    def write_wave(found: DataFrame, number: int) -> None:
+        # At most ``files_per_batch`` times ``WAVE`` names.
+        files = sorted((r["name"], r["path"]) for r in found.collect())
+        if files:
+            loaded, batches = read_wave(spark, files, header, schema, settings)
+            store_wave(loaded, target, number, batches, settings)
+
+    _run(names.select(F.col("_metadata.file_path").alias("name"), "path"), write_wave, progress or scratch_path(spark, "progress"))
     return sum(1 for name in child_names(spark, target) if name.startswith(f"{BATCH}="))
 
 
@@ -72,8 +91,13 @@ def run_batches(
             return
         commit(conform(batch, schema, settings.separator, escaped=settings.escape_breaks), number)
 
+    _run(stream, write_batch, progress)
+
+
+def _run(stream: DataFrame, write: Callable[[DataFrame, int], None], progress: str) -> None:
+    """Give a stream's batches to ``write`` until what is there now has been read."""
     query = (
-        stream.writeStream.foreachBatch(write_batch)
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()
@@ -84,6 +108,43 @@ def run_batches(
         query.stop()
 
 
+def read_wave(
+    spark: SparkSession, files: list[tuple[str, str]], header: list[str], schema: T.StructType, settings: Settings
+) -> tuple[Loaded, int]:
+    """The rows of sorted (name, path) files with their batch's number inside the wave as ``BATCH``; how many batches."""
+    size = max(settings.files_per_batch, -(-len(files) // WAVE))
+    # Paths are given as patterns; these characters stand for themselves.
+    paths = [re.sub(r"([\\{}\[\]*?])", r"\\\1", path) for _, path in files]
+    text = read_delimited(spark, paths, settings, columns=header, checked=False)
+    # A batch is a range of file names, so every row falls in exactly one.
+    place = between_cuts(F.col("_metadata.file_path"), [name for name, _ in files[size::size]])
+    numbered = text.select("*", place.alias(BATCH))
+    loaded = conform(numbered, schema, settings.separator, escaped=settings.escape_breaks, carried=(BATCH,))
+    return loaded, -(-len(files) // size)
+
+
+def store_wave(loaded: Loaded, target: str, wave: int, batches: int, settings: Settings) -> None:
+    """Write the good rows of a wave's batches in one job, a folder for each.
+
+    With too many bad rows in a batch, its folder and those behind it are removed again.
+    """
+    spark = loaded.rows.sparkSession
+    folders = [f"{target}/{BATCH}={wave * WAVE + i}" for i in range(WAVE)]
+    for folder in folders:
+        clear_folder(spark, folder)
+    moved = Loaded(loaded.rows.withColumn(BATCH, F.col(BATCH) + F.lit(wave * WAVE)), loaded.schema)
+    if write_counting_bad(moved, target, BATCH) > settings.max_bad_rows:
+        # One batch's budget: they are told apart only when all together exceed it.
+        counted = loaded.bad(BATCH).groupBy(BATCH).count().where(F.col("count") > settings.max_bad_rows)
+        if first := counted.orderBy(BATCH).first():
+            for folder in folders[first[BATCH]:]:
+                clear_folder(spark, folder)
+            raise TooManyBadRows(f"{first['count']} bad rows, {settings.max_bad_rows} allowed, for {folders[first[BATCH]]}")
+    for folder in folders[:batches]:
+        if not path_exists(spark, folder):
+            spark.createDataFrame([], loaded.schema).write.parquet(folder)
+
+
 def store_batch(loaded: Loaded, folder: str, settings: Settings) -> None:
     """Write one batch's good rows, parsing its files once.
 

@@ -14,6 +14,7 @@ from tallyferry.operators import chunking as C
 from tallyferry.operators.columns import shout_columns
 from tallyferry.sources import delimited as D
 from tallyferry.specs import MissingInput, Settings, TooManyBadRows
+from tallyferry.streaming import file_batches as B
 from tallyferry.streaming.file_batches import load_in_batches
 
 PLAIN = Settings(compression=None)
@@ -217,3 +218,32 @@ def test_batch_with_too_many_bad_rows_fails(spark, tmp_path):
     assert load_in_batches(spark, source, ["id", "price"], schema, target, Settings(max_bad_rows=3)) == 1
     assert spark.read.parquet(target).count() == 30
     assert TooManyBadRows.__mro__[1].__name__ == "MoveError"
+
+
+def test_many_batches_are_one_trigger_with_a_folder_and_budget_each(spark, tmp_path, monkeypatch):
+    schema = make_files(spark, tmp_path, 11, bad=2)
+    write_lines(str(tmp_path / "in" / "odd [name] %2 {ü}.csv"), "id\tprice", "x\ty", "x\ty")
+    source, target, progress = (str(tmp_path / n) for n in ("in", "target", "progress"))
+    jobs = []
+    real = B.write_counting_bad
+    monkeypatch.setattr(B, "write_counting_bad", lambda *a: jobs.append(1) or real(*a))
+    settings = Settings(files_per_batch=2, max_bad_rows=1)
+    with pytest.raises(Exception, match="2 bad rows, 1 allowed"):
+        load_in_batches(spark, source, ["id", "price"], schema, target, settings, progress)
+    # In order of names, 1.csv comes second: nothing of its batch or behind it stays.
+    assert B.child_names(spark, target) in ([], ["_SUCCESS"])
+    # Six batches; together they hold more bad rows than one may.
+    assert load_in_batches(spark, source, ["id", "price"], schema, target, Settings(files_per_batch=2, max_bad_rows=2), progress) == 6
+    # One job a run, and not one for every batch as before.
+    assert len(jobs) == 2
+    loaded = spark.read.parquet(target)
+    assert sorted(r["id"] for r in loaded.collect()) == list(range(110))
+    per_batch = loaded.groupBy("load_batch").agg(F.count_distinct(F.expr("id div 10")).alias("files"))
+    assert sorted(r["files"] for r in per_batch.collect()) == [1, 2, 2, 2, 2, 2]
+
+
+def test_batches_without_good_rows_keep_their_schema(spark, tmp_path):
+    write_lines(str(tmp_path / "in" / "0.csv"), "id\tprice", "x\ty")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("price", T.DoubleType())])
+    assert load_in_batches(spark, str(tmp_path / "in"), ["id", "price"], schema, str(tmp_path / "target"), PLAIN) == 1
+    assert spark.read.parquet(str(tmp_path / "target")).select("id", "price").count() == 0
